@@ -5,7 +5,13 @@ analysis stays one Catalyst plan.
 """
 
 from crashlens.operators.aggregates import count_distinct_per, count_groups_having, global_count
-from crashlens.operators.joins import having_match, join_count, join_renaming, lacking_match
+from crashlens.operators.joins import (
+    broadcast_if_bounded,
+    having_match,
+    join_count,
+    join_renaming,
+    lacking_match,
+)
 from crashlens.operators.ranking import (
     dense_rank_all,
     number_per_group,
@@ -18,6 +24,7 @@ from crashlens.operators.topk import BROADCAST_MAX_ROWS, best_k, in_top_k, order
 __all__ = [
     "BROADCAST_MAX_ROWS",
     "best_k",
+    "broadcast_if_bounded",
     "count_distinct_per",
     "count_groups_having",
     "dense_rank_all",
