@@ -74,10 +74,24 @@ def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", in
 
 
 def stage(spark: SparkSession, tables: CrashTables) -> CrashTables:
-    """Write each table once as Parquet in the shared folder; read it back."""
+    """Write each table once as Parquet in the shared folder; read it back.
+
+    A source that arrives as fewer splits than the cluster has cores (one
+    gzip CSV, one Parquet row group) is spread round-robin here, once, so
+    that every later scan runs in parallel. Round-robin is skew-proof, and
+    Spark sorts before it so a retried task rebuilds the same partitions.
+    """
+    try:
+        target = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        target = 0
     staged = {}
     for name, df in tables.as_dict().items():
+        try:
+            narrow = df.rdd.getNumPartitions() < target
+        except Exception:
+            narrow = False
         path = scratch_path(spark, f"staged-{name}")
-        df.write.mode("overwrite").parquet(path)
+        (df.repartition(target) if narrow else df).write.mode("overwrite").parquet(path)
         staged[name] = spark.read.parquet(path)
     return CrashTables(**staged)

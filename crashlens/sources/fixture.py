@@ -159,10 +159,35 @@ def fixture_cte_sql() -> str:
     return f"WITH units AS ({units}), persons AS ({persons}), damages AS ({damages})"
 
 
+# Source columns that identify a row; hashing on all of them spreads rows
+# evenly (only exact duplicate source rows would share a task).
+LINEITEM_ROW_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+ORDERS_ROW_KEY = ["o_orderkey", "o_custkey"]
+
+
+def spread(spark: SparkSession, df: DataFrame, row_key: list[str]) -> DataFrame:
+    """Give a source at least as many partitions as the cluster has cores.
+
+    A Parquet file with a single row group is one input split, so the whole
+    projection and the map side of every shuffle would run in one task.
+    Only then is the source hash-partitioned on its row key: no sort (unlike
+    round-robin), deterministic on retry, and the hash includes columns the
+    crash tables do not expose, so downstream plans keep their own,
+    skew-safe exchanges. A source that already splits finely (the normal
+    case at scale) is returned untouched: no extra shuffle.
+    """
+    try:
+        target = spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view
+        return df
+    return df if current >= target else df.repartition(target, *row_key)
+
+
 def load_fixture(spark: SparkSession, sf_dir: str):
     """The three crash tables for one scale-factor folder of the test data."""
     from crashlens.sources.catalog import CrashTables
 
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lineitem = spread(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"), LINEITEM_ROW_KEY)
+    orders = spread(spark, spark.read.parquet(f"{sf_dir}/orders.parquet"), ORDERS_ROW_KEY)
     return CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))
