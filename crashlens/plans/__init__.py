@@ -1,0 +1 @@
+"""Analyses, their variants, operator queries, oracles, report job and registry."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.functions import any_of, is_true
+from crashlens.functions import any_of, is_true, not_in
 from crashlens.operators import (
     best_k,
     count_distinct_per,
@@ -20,7 +20,6 @@ from crashlens.operators import (
     having_match,
     lacking_match,
     rank_band,
-    top_k,
 )
 from crashlens.plans.analyses import (
     ALCOHOL_FACTORS,
@@ -41,7 +40,6 @@ from crashlens.plans.analyses import (
     _speeding_units_in_top_sets,
     with_total,
 )
-from crashlens.functions import not_in
 from crashlens.sources.catalog import CrashTables
 
 
@@ -116,5 +114,4 @@ __all__ = [
     "a08i_zips_alcohol_crashes",
     "a09i_no_damage_high_severity_crashes",
     "a10i_speeding_makes_crashes",
-    "top_k",
 ]

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The crash analyses are a batch job over complete tables; there is no
+stream, event time, state or late data in what they compute, so no
+Structured Streaming operator is provided here.
+"""
