@@ -8,6 +8,7 @@ it back.
 
 from __future__ import annotations
 
+from functools import partial
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,43 +20,42 @@ from crashlens.plans.operator_queries import OPERATOR_QUERIES, OPERATOR_SQL
 from crashlens.plans.oracles import ANALYSES_SQL, FIX, VARIANTS_SQL
 from crashlens.plans.report import all_counts
 from crashlens.session import scratch_path
-from crashlens.sources.catalog import read_csv_inferred, read_csv_typed
+from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed
 from crashlens.sources.fixture import load_fixture
 from crashlens.sources.sink import write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_fixture(fn, **kwargs) -> Query:
+def _on_fixture(fn: Callable[[CrashTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_fixture(spark, sf_dir), **kwargs)
+        return fn(load_fixture(spark, sf_dir))
 
-    run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
-ANALYSIS_QUERIES: dict[str, Query] = {
-    "a01_crashes_male_deaths": _on_fixture(A.a01_crashes_male_deaths),
-    "a02_two_wheelers": _on_fixture(A.a02_two_wheelers),
-    "a03_top_makes_no_airbag": _on_fixture(A.a03_top_makes_no_airbag),
-    "a03_top_makes_no_airbag_counts": _on_fixture(A.a03_top_makes_no_airbag, with_counts=True),
-    "a04_hit_and_run_licensed": _on_fixture(A.a04_hit_and_run_licensed),
-    "a05_state_non_female": _on_fixture(A.a05_state_non_female),
-    "a05_state_non_female_counts": _on_fixture(A.a05_state_non_female, with_counts=True),
-    "a06_makes_injury_rank_3_5": _on_fixture(A.a06_makes_injury_rank_3_5),
-    "a07_ethnicity_per_body": _on_fixture(A.a07_ethnicity_per_body),
-    "a08_zips_alcohol": _on_fixture(A.a08_zips_alcohol),
-    "a08_zips_alcohol_counts": _on_fixture(A.a08_zips_alcohol, with_counts=True),
-    "a09_no_damage_high_severity": _on_fixture(A.a09_no_damage_high_severity),
-    "a10_speeding_makes_top_colour_state": _on_fixture(A.a10_speeding_makes_top_colour_state),
-    "a10_speeding_makes_top_colour_state_counts": _on_fixture(A.a10_speeding_makes_top_colour_state,
-                                                              with_counts=True),
+# name -> CrashTables -> DataFrame (the analyses with their report parameters)
+ANALYSIS_FUNCTIONS: dict[str, Callable[[CrashTables], DataFrame]] = {
+    "a01_crashes_male_deaths": A.a01_crashes_male_deaths,
+    "a02_two_wheelers": A.a02_two_wheelers,
+    "a03_top_makes_no_airbag": A.a03_top_makes_no_airbag,
+    "a03_top_makes_no_airbag_counts": partial(A.a03_top_makes_no_airbag, with_counts=True),
+    "a04_hit_and_run_licensed": A.a04_hit_and_run_licensed,
+    "a05_state_non_female": A.a05_state_non_female,
+    "a05_state_non_female_counts": partial(A.a05_state_non_female, with_counts=True),
+    "a06_makes_injury_rank_3_5": A.a06_makes_injury_rank_3_5,
+    "a07_ethnicity_per_body": A.a07_ethnicity_per_body,
+    "a08_zips_alcohol": A.a08_zips_alcohol,
+    "a08_zips_alcohol_counts": partial(A.a08_zips_alcohol, with_counts=True),
+    "a09_no_damage_high_severity": A.a09_no_damage_high_severity,
+    "a10_speeding_makes_top_colour_state": A.a10_speeding_makes_top_colour_state,
+    "a10_speeding_makes_top_colour_state_counts": partial(A.a10_speeding_makes_top_colour_state, with_counts=True),
 }
+VARIANT_FUNCTIONS: dict[str, Callable[[CrashTables], DataFrame]] = {name: getattr(V, name) for name in VARIANTS_SQL}
 
-VARIANT_QUERIES: dict[str, Query] = {
-    name: _on_fixture(getattr(V, name)) for name in VARIANTS_SQL
-}
+ANALYSIS_QUERIES: dict[str, Query] = {name: _on_fixture(fn) for name, fn in ANALYSIS_FUNCTIONS.items()}
+VARIANT_QUERIES: dict[str, Query] = {name: _on_fixture(fn) for name, fn in VARIANT_FUNCTIONS.items()}
 
 # Column types of the native tables written to CSV and read back.
 PART_TYPES = {"p_partkey": T.LongType(), "p_size": T.IntegerType(), "p_retailprice": T.DoubleType()}
