@@ -32,3 +32,22 @@ def test_one_failure_does_not_stop_the_rest(spark, tables, tmp_out):
     assert "VEH_MAKE_ID" in status["a03_top_makes_no_airbag"].error
     assert status["a02_two_wheelers"].status == "success"
     assert status["a01_crashes_male_deaths"].n == 7
+
+
+def test_cli_end_to_end_from_csv(spark, tables, tmp_out):
+    from crashlens.plans.report import main
+    from crashlens.sources.sink import write_csv
+
+    paths = {}
+    for name, df in tables.as_dict().items():
+        paths[name] = write_csv(df, os.path.join(tmp_out, "in", name), files=None)
+    out = os.path.join(tmp_out, "out")
+    main(["--person", paths["person"], "--units", paths["units"], "--damages", paths["damages"], "--out", out])
+    status = {r.analysis: r for r in spark.read.json(os.path.join(out, "_report")).collect()}
+    assert all(r.status == "success" for r in status.values())
+    assert {k: status[k].n for k in ("a01_crashes_male_deaths", "a02_two_wheelers", "a04_hit_and_run_licensed",
+                                     "a09_no_damage_high_severity")} == {
+        "a01_crashes_male_deaths": 7, "a02_two_wheelers": 384, "a04_hit_and_run_licensed": 1853,
+        "a09_no_damage_high_severity": 384}
+    assert status["a08_zips_alcohol"].value == "07844; 07838; 07817; 07811; 07822"
+    assert status["a10_speeding_makes_top_colour_state"].value == "FORD; CHEVROLET; TOYOTA; DODGE; HONDA"
