@@ -127,14 +127,16 @@ def a06_makes_injury_rank_3_5(t: CrashTables, lo: int = 3, hi: int = 5) -> DataF
     (at most ``hi`` distinct totals) filters the rows *before* the
     whole-row ``distinct``, so only band rows are shuffled for it.
     """
+    if t.units_rows is not None:  # distinct rows staged: band them directly
+        return rank_band(with_total(t.units_rows), TOTAL, lo, hi).select("VEH_MAKE_ID")
     banded = rank_band(with_total(t.units), TOTAL, lo, hi)
     return banded.distinct().select("VEH_MAKE_ID")
 
 
 def a07_ethnicity_per_body(t: CrashTables) -> DataFrame:
     """Most frequent ethnicity per body style over distinct (vehicle ⋈ person) rows."""
-    units = t.units.distinct().filter(not_in("VEH_BODY_STYL_ID", BAD_BODY_STYLES))
-    people = t.person.distinct().filter(not_in("PRSN_ETHNICITY_ID", BAD_ETHNICITIES))
+    units = t.distinct_units().filter(not_in("VEH_BODY_STYL_ID", BAD_BODY_STYLES))
+    people = t.distinct_person().filter(not_in("PRSN_ETHNICITY_ID", BAD_ETHNICITIES))
     counts = join_count(units, people, VEHICLE, ["VEH_BODY_STYL_ID"], ["PRSN_ETHNICITY_ID"], name="count")
     best = top_per_group(counts, "VEH_BODY_STYL_ID",
                          [F.col("count").desc(), F.col("PRSN_ETHNICITY_ID").asc_nulls_last()])
@@ -142,11 +144,12 @@ def a07_ethnicity_per_body(t: CrashTables) -> DataFrame:
 
 
 def _alcohol_flags(t: CrashTables) -> tuple[DataFrame, DataFrame]:
-    """Per-side halves of the alcohol predicate, as two-valued flags."""
+    """Distinct rows of each side with its half of the alcohol predicate as a
+    two-valued flag (a function of the row, so flag and distinct commute)."""
     unit_flag = is_true(any_of(FACTOR_COLUMNS, lambda c: c.isin(ALCOHOL_FACTORS))).alias("_u_alc")
     person_flag = is_true(F.col("PRSN_ALC_RSLT_ID") == ALCOHOL_POSITIVE).alias("_p_alc")
-    units = t.units.select(*t.units.columns, unit_flag)
-    people = t.person.filter(F.col("DRVR_ZIP").isNotNull()).select(*t.person.columns, person_flag)
+    units = t.distinct_units().select(*VEHICLE, unit_flag)
+    people = t.distinct_person().filter(F.col("DRVR_ZIP").isNotNull()).select(*VEHICLE, "DRVR_ZIP", person_flag)
     return units, people
 
 
@@ -161,11 +164,10 @@ def a08_zips_alcohol(t: CrashTables, k: int = 5, with_counts: bool = False) -> D
     """
     units, people = _alcohol_flags(t)
     unit_counts = (
-        units.distinct()  # whole-row distinct; the flag is a function of the row
-        .groupBy(*VEHICLE)
+        units.groupBy(*VEHICLE)
         .agg(F.count(F.lit(1)).alias("_nu"), F.sum(F.col("_u_alc").cast("long")).alias("_nu_alc"))
     )
-    person_counts = people.distinct().groupBy(*VEHICLE, "DRVR_ZIP", "_p_alc").agg(F.count(F.lit(1)).alias("_np"))
+    person_counts = people.groupBy(*VEHICLE, "DRVR_ZIP", "_p_alc").agg(F.count(F.lit(1)).alias("_np"))
     pairs = person_counts.join(unit_counts, VEHICLE, "inner")
     passed = F.col("_np") * F.when(F.col("_p_alc"), F.col("_nu")).otherwise(F.col("_nu_alc"))
     per_zip = pairs.groupBy("DRVR_ZIP").agg(F.sum(passed).alias("n")).filter(F.col("n") > 0)
@@ -202,6 +204,6 @@ def _speeding_units_in_top_sets(t: CrashTables, colours: int = 10, states: int =
 
 def a10_speeding_makes_top_colour_state(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
     """Top makes by rows of (distinct licensed persons ⋈ speeding top-colour/state vehicles)."""
-    licensed = t.person.filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES)).distinct()
+    licensed = t.distinct_person().filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES))
     counts = join_count(licensed, _speeding_units_in_top_sets(t), VEHICLE, by_right=["VEH_MAKE_ID"])
     return best_k(counts, "n", "VEH_MAKE_ID", k, keep_measure=with_counts)

@@ -2,14 +2,15 @@
 
 ``all_counts`` is the lazy part: the four count analyses unioned into one
 ``(analysis, n)`` DataFrame. ``run_report`` is the job: it stages the input
-tables once as Parquet in the shared folder, runs each analysis on its own
-(one failure does not stop the others), writes table results as CSV and
-returns one status row per analysis, errors included.
+tables once as Parquet in the shared folder, together with the distinct
+rows of units and person that four analyses share, runs each analysis on
+its own (one failure does not stop the others), writes table results as
+CSV and returns one status row per analysis, errors included.
 
-Command line::
+Command line (package shipped with ``--py-files``)::
 
-    spark-submit -m crashlens.plans.report --person P.csv --units U.csv \
-        --damages D.csv --out /shared/reports [--format csv|parquet]
+    spark-submit --py-files crashlens.zip crashlens/plans/report.py --person P.csv \
+        --units U.csv --damages D.csv --out /shared/reports [--format csv|parquet]
 """
 
 from __future__ import annotations
@@ -67,10 +68,16 @@ def all_counts(t: CrashTables) -> DataFrame:
     return out
 
 
-def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True) -> DataFrame:
-    """Run all ten analyses; return one status row per analysis."""
-    if stage_tables:
-        t = stage(spark, t)
+def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
+               stage_distinct: bool = True) -> DataFrame:
+    """Run all ten analyses; return one status row per analysis.
+
+    ``stage_tables`` writes the inputs once as Parquet (for CSV input);
+    ``stage_distinct`` writes the distinct rows of units and person once,
+    shared by A06, A07, A08 and A10.
+    """
+    if stage_tables or stage_distinct:
+        t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct)
     rows = []
     for name, fn in COUNT_ANALYSES.items():
         start = time.time()
@@ -112,7 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("crashlens-report").getOrCreate()
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
                          fmt=args.format, infer=args.infer_schema)
-    status = run_report(spark, tables, args.out)
+    status = run_report(spark, tables, args.out, stage_tables=args.format == "csv")
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))
     status.show(truncate=False)
 

@@ -78,7 +78,7 @@ def a05i_state_crashes_without_female(t: CrashTables, k: int = 1) -> DataFrame:
 
 def a06i_makes_injury_total_rank_3_5(t: CrashTables, lo: int = 3, hi: int = 5) -> DataFrame:
     """Makes ranked 3..5 by injuries + deaths summed over their distinct vehicle rows."""
-    units = with_total(t.units.distinct()).filter(F.col("VEH_MAKE_ID") != MAKE_NA)
+    units = with_total(t.distinct_units()).filter(F.col("VEH_MAKE_ID") != MAKE_NA)
     totals = units.groupBy("VEH_MAKE_ID").agg(F.sum(TOTAL).cast("bigint").alias("total"))
     return rank_band(totals, "total", lo, hi).select("VEH_MAKE_ID", "total")
 

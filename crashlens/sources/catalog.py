@@ -22,13 +22,29 @@ from crashlens.sources.schemas import REQUIRED_COLUMNS, TABLE_TYPES
 
 @dataclass(frozen=True)
 class CrashTables:
+    """The three crash tables, optionally with their deduplicated forms.
+
+    Several analyses work on distinct whole rows of ``units`` or ``person``.
+    A batch job can stage those once (``stage(..., with_distinct=True)``);
+    analyses then read the staged rows, column-pruned, instead of each
+    shuffling every column for its own ``distinct()``.
+    """
+
     person: DataFrame
     units: DataFrame
     damages: DataFrame
+    person_rows: DataFrame | None = None  # distinct whole rows of person, if staged
+    units_rows: DataFrame | None = None  # distinct whole rows of units, if staged
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"person": self.person, "units": self.units, "damages": self.damages}
 
+    def distinct_person(self) -> DataFrame:
+        return self.person_rows if self.person_rows is not None else self.person.distinct()
+
+    def distinct_units(self) -> DataFrame:
+        return self.units_rows if self.units_rows is not None else self.units.distinct()
+
 
 def read_csv_typed(spark: SparkSession, path: str, types: dict[str, T.DataType] | None = None,
                    sep: str = ",") -> DataFrame:
@@ -73,25 +89,36 @@ def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", in
                           for name in ("person", "units", "damages")})
 
 
-def stage(spark: SparkSession, tables: CrashTables) -> CrashTables:
-    """Write each table once as Parquet in the shared folder; read it back.
+def stage(spark: SparkSession, tables: CrashTables, base: bool = True,
+          with_distinct: bool = False) -> CrashTables:
+    """Write tables once as Parquet in the shared folder; read them back.
 
-    A source that arrives as fewer splits than the cluster has cores (one
-    gzip CSV, one Parquet row group) is spread round-robin here, once, so
-    that every later scan runs in parallel. Round-robin is skew-proof, and
-    Spark sorts before it so a retried task rebuilds the same partitions.
+    ``base`` stages the three input tables: worth it for CSV (parsed once
+    instead of in every analysis, then read column-pruned), pointless for
+    Parquet input. A source that arrives as fewer splits than the cluster
+    has cores (one gzip CSV, one Parquet row group) is spread round-robin
+    here, once, so every later scan runs in parallel; round-robin is
+    skew-proof, and Spark sorts before it so a retried task rebuilds the
+    same partitions. ``with_distinct`` also stages the distinct whole rows
+    of ``units`` and ``person``: one all-column shuffle each, instead of one
+    per analysis that deduplicates.
     """
     try:
         target = spark.sparkContext.defaultParallelism
     except Exception:  # Spark Connect
         target = 0
-    staged = {}
-    for name, df in tables.as_dict().items():
+
+    def write(name: str, df: DataFrame) -> DataFrame:
         try:
             narrow = df.rdd.getNumPartitions() < target
         except Exception:
             narrow = False
         path = scratch_path(spark, f"staged-{name}")
         (df.repartition(target) if narrow else df).write.mode("overwrite").parquet(path)
-        staged[name] = spark.read.parquet(path)
+        return spark.read.parquet(path)
+
+    staged = {name: write(name, df) if base else df for name, df in tables.as_dict().items()}
+    if with_distinct:
+        staged["person_rows"] = write("person-rows", staged["person"].distinct())
+        staged["units_rows"] = write("units-rows", staged["units"].distinct())
     return CrashTables(**staged)

@@ -52,3 +52,12 @@ def test_stage_round_trips_tables(spark, tables):
     staged = stage(spark, tables)
     assert A.a04_hit_and_run_licensed(staged).collect()[0].n == 1853
     assert staged.units.rdd.getNumPartitions() >= 1
+
+
+def test_staged_distinct_rows_give_the_same_answers(spark, tables):
+    from crashlens.plans.registry import ANALYSIS_FUNCTIONS, VARIANT_FUNCTIONS
+
+    staged = stage(spark, tables, with_distinct=True)
+    assert staged.units_rows is not None and staged.person_rows is not None
+    for name, fn in {**ANALYSIS_FUNCTIONS, **VARIANT_FUNCTIONS}.items():
+        assert sorted(map(tuple, fn(staged).collect())) == sorted(map(tuple, fn(tables).collect())), name
