@@ -19,6 +19,8 @@ import argparse
 import os
 import time
 import traceback
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,37 +70,51 @@ def all_counts(t: CrashTables) -> DataFrame:
     return out
 
 
+def _run_count(name: str, fn, t: CrashTables) -> tuple:
+    start = time.time()
+    try:
+        n = fn(t).first()["n"]
+        return (name, "count", "success", int(n), str(n), None, time.time() - start, None)
+    except Exception as err:  # reported as a row, the run goes on
+        return (name, "count", "error", None, None, None, time.time() - start, _short(err))
+
+
+def _run_table(spark: SparkSession, name: str, fn, files: int | None, t: CrashTables, out_dir: str) -> tuple:
+    start = time.time()
+    path = os.path.join(out_dir, f"{name}.csv")
+    try:
+        write_csv(fn(t), path, files=files)
+        written = read_csv_typed(spark, path)
+        preview = written.limit(PREVIEW_ROWS + 1).collect()
+        n = written.count() if len(preview) > PREVIEW_ROWS else len(preview)
+        value = None if len(preview) > PREVIEW_ROWS else "; ".join(
+            ", ".join("" if v is None else str(v) for v in r) for r in preview)
+        return (name, "table", "success", int(n), value, path, time.time() - start, None)
+    except Exception as err:
+        return (name, "table", "error", None, None, path, time.time() - start, _short(err))
+
+
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
-               stage_distinct: bool = True) -> DataFrame:
+               stage_distinct: bool = True, parallelism: int = 4) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
-    ``stage_tables`` writes the inputs once as Parquet (for CSV input);
-    ``stage_distinct`` writes the distinct rows of units and person once,
-    shared by A06, A07, A08 and A10.
+    ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
+    computed tables); ``stage_distinct`` writes the distinct rows of units
+    and person once, shared by A06, A07, A08 and A10. The analyses are
+    independent Spark jobs; up to ``parallelism`` of them are submitted at
+    once from driver threads, so the scheduler can overlap their stages
+    (use a FAIR pool on a shared cluster). Status rows come back in report
+    order whatever the completion order.
     """
     if stage_tables or stage_distinct:
         t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct)
-    rows = []
-    for name, fn in COUNT_ANALYSES.items():
-        start = time.time()
-        try:
-            n = fn(t).first()["n"]
-            rows.append((name, "count", "success", int(n), str(n), None, time.time() - start, None))
-        except Exception as err:  # reported as a row, the run goes on
-            rows.append((name, "count", "error", None, None, None, time.time() - start, _short(err)))
-    for name, (fn, files) in TABLE_ANALYSES.items():
-        start = time.time()
-        path = os.path.join(out_dir, f"{name}.csv")
-        try:
-            write_csv(fn(t), path, files=files)
-            written = read_csv_typed(spark, path)
-            preview = written.limit(PREVIEW_ROWS + 1).collect()
-            n = written.count() if len(preview) > PREVIEW_ROWS else len(preview)
-            value = None if len(preview) > PREVIEW_ROWS else "; ".join(
-                ", ".join("" if v is None else str(v) for v in r) for r in preview)
-            rows.append((name, "table", "success", int(n), value, path, time.time() - start, None))
-        except Exception as err:
-            rows.append((name, "table", "error", None, None, path, time.time() - start, _short(err)))
+    jobs = [partial(_run_count, name, fn, t) for name, fn in COUNT_ANALYSES.items()]
+    jobs += [partial(_run_table, spark, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
+    if parallelism <= 1:
+        rows = [job() for job in jobs]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(lambda job: job(), jobs))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -115,11 +131,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="shared output folder")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--infer-schema", action="store_true")
+    parser.add_argument("--parallelism", type=int, default=4, help="analyses submitted at once")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("crashlens-report").getOrCreate()
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
                          fmt=args.format, infer=args.infer_schema)
-    status = run_report(spark, tables, args.out, stage_tables=args.format == "csv")
+    status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism)
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))
     status.show(truncate=False)
 

@@ -10,6 +10,7 @@ CSV parsing by a columnar scan with filter pushdown and column pruning and
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,12 +114,18 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True,
             narrow = df.rdd.getNumPartitions() < target
         except Exception:
             narrow = False
-        path = scratch_path(spark, f"staged-{name}")
+        path = scratch_path(spark, f"staged-{name.replace('_', '-')}")
         (df.repartition(target) if narrow else df).write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    staged = {name: write(name, df) if base else df for name, df in tables.as_dict().items()}
+    def write_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        # independent writes: submitted together so their stages overlap
+        with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+            futures = {name: pool.submit(write, name, df) for name, df in frames.items()}
+            return {name: f.result() for name, f in futures.items()}
+
+    staged = write_all(tables.as_dict()) if base else dict(tables.as_dict())
     if with_distinct:
-        staged["person_rows"] = write("person-rows", staged["person"].distinct())
-        staged["units_rows"] = write("units-rows", staged["units"].distinct())
+        staged.update(write_all({"person_rows": staged["person"].distinct(),
+                                 "units_rows": staged["units"].distinct()}))
     return CrashTables(**staged)
