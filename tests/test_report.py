@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from crashlens.plans.report import all_counts, run_report
 from crashlens.sources.catalog import CrashTables
