@@ -155,6 +155,14 @@ def op_anti_join(spark, sf_dir):
     return lacking_match(customer, orders, ["c_custkey"])
 
 
+def op_anti_join_urgent(spark, sf_dir):
+    """Customers without any 1-URGENT order (non-empty on the test data)."""
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    urgent = _t(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").alias("c_custkey"))
+    return lacking_match(customer, urgent, ["c_custkey"])
+
+
 def op_group_count(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
 
@@ -282,6 +290,8 @@ OPERATOR_SQL: dict[str, str] = {
     "op_semi_join": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
     "op_anti_join": "SELECT c_custkey, c_name FROM customer c "
                     "WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)",
+    "op_anti_join_urgent": "SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o "
+                           "WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')",
     "op_group_count": "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag",
     "op_group_count_two": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem "
                           "GROUP BY l_returnflag, l_linestatus",
