@@ -95,7 +95,7 @@ def _run_table(spark: SparkSession, name: str, fn, files: int | None, t: CrashTa
 
 
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
-               stage_distinct: bool = True, parallelism: int = 4) -> DataFrame:
+               stage_distinct: bool = True, parallelism: int = 4, retries: int = 1) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
     ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
@@ -110,11 +110,23 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
         t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct)
     jobs = [partial(_run_count, name, fn, t) for name, fn in COUNT_ANALYSES.items()]
     jobs += [partial(_run_table, spark, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
+
+    def attempt(job) -> tuple:
+        # Spark already retries tasks and stages; an analysis that still fails
+        # (e.g. repeated executor loss) is run once more. Outputs are written
+        # with overwrite, so a re-run is idempotent.
+        row = job()
+        for _ in range(retries):
+            if row[2] == "success":
+                break
+            row = job()
+        return row
+
     if parallelism <= 1:
-        rows = [job() for job in jobs]
+        rows = [attempt(job) for job in jobs]
     else:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(lambda job: job(), jobs))
+            rows = list(pool.map(attempt, jobs))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
