@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_CHECKPOINT_LOCK = threading.Lock()  # staging threads may ask at once
 
 
 def build_session(
@@ -72,22 +74,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     gets a fresh folder of its own, which is then also registered as the
     RDD checkpoint folder so ``DataFrame.checkpoint()`` works.
     """
-    value = spark.conf.get(CHECKPOINT_KEY, None)
-    if not value:
-        try:
-            value = spark.sparkContext.getCheckpointDir()
-        except Exception:
-            value = None
-    if value:
-        return value.rstrip("/")
-    if not _is_local(spark):
-        raise RuntimeError(
-            f"{CHECKPOINT_KEY} is not set; point it at a shared folder (HDFS/S3) "
-            "so staged tables and checkpoints survive executor loss"
-        )
-    value = tempfile.mkdtemp(prefix="crashlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(value)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    with _CHECKPOINT_LOCK:
+        value = spark.conf.get(CHECKPOINT_KEY, None)
+        if not value:
+            try:
+                value = spark.sparkContext.getCheckpointDir()
+            except Exception:
+                value = None
+        if value:
+            return value.rstrip("/")
+        if not _is_local(spark):
+            raise RuntimeError(
+                f"{CHECKPOINT_KEY} is not set; point it at a shared folder (HDFS/S3) "
+                "so staged tables and checkpoints survive executor loss"
+            )
+        value = tempfile.mkdtemp(prefix="crashlens-ckpt-")
+        spark.sparkContext.setCheckpointDir(value)
+        return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
