@@ -70,3 +70,31 @@ def test_lacking_match_is_not_exists(spark, left, right):
     right_keys = {k for k, _ in right if k is not None}
     want = Counter((k, v) for k, v in left if k is None or k not in right_keys)
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.one_of(st.none(), st.integers(-5, 30)), min_size=1, max_size=30), desc=st.booleans(),
+       parts=st.integers(1, 4))
+def test_dense_rank_all_matches_definition(spark, data, desc, parts):
+    from crashlens.operators import dense_rank_all
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data)], "id int, v int")
+    got = sorted((r.id, r.r) for r in dense_rank_all(spark, df, "v", desc, "r", partitions=parts).collect())
+    order = sorted({v for v in data if v is not None}, reverse=desc) + ([None] if None in data else [])
+    rank = {v: i + 1 for i, v in enumerate(order)}
+    assert got == sorted((i, rank[v]) for i, v in enumerate(data))
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.sampled_from(["g", "h"]), st.sampled_from(["x", "y", "z"]), st.integers(0, 3)),
+                     max_size=20))
+def test_top_per_group_keeps_best_with_tie_break(spark, data):
+    from crashlens.operators import top_per_group
+
+    df = spark.createDataFrame(data, "g string, e string, n int")
+    got = sorted(tuple(r) for r in top_per_group(df, "g", [F.col("n").desc(), F.col("e").asc()]).collect())
+    best = {}
+    for g, e, n in data:
+        if g not in best or (-n, e) < (-best[g][1], best[g][0]):
+            best[g] = (e, n)
+    assert got == sorted((g, e, n) for g, (e, n) in best.items())
