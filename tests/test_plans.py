@@ -58,3 +58,31 @@ def test_filters_and_columns_reach_the_parquet_scan(spark):
 
 def test_a03_top_k_is_take_ordered(tables):
     assert "TakeOrderedAndProject(limit=5" in plan(A.a03_top_makes_no_airbag(tables))
+
+
+# Row exchanges per analysis when Spark may not broadcast on its own (the
+# plan at scale); only the code's bounded broadcasts remain. The budget
+# guards against plans that add shuffles.
+SHUFFLE_BUDGET = {
+    "a01_crashes_male_deaths": (2, 0), "a02_two_wheelers": (1, 0), "a03_top_makes_no_airbag": (4, 0),
+    "a04_hit_and_run_licensed": (3, 0), "a05_state_non_female": (1, 0), "a06_makes_injury_rank_3_5": (2, 1),
+    "a07_ethnicity_per_body": (8, 0), "a08_zips_alcohol": (6, 0), "a09_no_damage_high_severity": (4, 0),
+    "a10_speeding_makes_top_colour_state": (7, 2),
+}
+
+
+def test_shuffle_budget_at_scale(spark, tables):
+    from crashlens.plans.registry import ANALYSIS_FUNCTIONS
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        for name, (shuffles, broadcasts) in SHUFFLE_BUDGET.items():
+            lines = plan(ANALYSIS_FUNCTIONS[name](tables)).splitlines()
+            row_exchanges = [ln for ln in lines if "Exchange" in ln and "Broadcast" not in ln
+                             and "REPARTITION_BY_NUM" not in ln]  # the fixture's own source spread
+            assert len(row_exchanges) <= shuffles, (name, len(row_exchanges))
+            assert sum("BroadcastExchange" in ln for ln in lines) == broadcasts, name
+    finally:
+        spark.conf.set(key, before)
