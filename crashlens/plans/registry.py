@@ -127,3 +127,26 @@ def oracle_sql() -> dict[str, str]:
     out.update({k: v.replace("@fixture", FIX, 1) if v.startswith("@fixture") else v for k, v in OPERATOR_SQL.items()})
     out.update(SOURCE_SQL)
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run or explain one registered query: ``KEY SF_DIR [--explain]``."""
+    import argparse
+
+    from crashlens.session import build_session
+
+    parser = argparse.ArgumentParser(description="Run or explain one registered query.")
+    parser.add_argument("key", choices=sorted(queries()))
+    parser.add_argument("sf_dir")
+    parser.add_argument("--explain", action="store_true", help="print the formatted physical plan instead")
+    args = parser.parse_args(argv)
+    spark = build_session()
+    df = queries()[args.key](spark, args.sf_dir)
+    if args.explain:
+        df.explain("formatted")
+    else:
+        df.show(50, truncate=False)
+
+
+if __name__ == "__main__":
+    main()
