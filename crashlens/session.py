@@ -40,6 +40,12 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # No UI to show it, so keep little query history in the driver's
+        # status store (plans of wide tables make each entry large).
+        "spark.sql.ui.retainedExecutions": "50",
+        "spark.ui.retainedJobs": "100",
+        "spark.ui.retainedStages": "200",
+        "spark.ui.retainedTasks": "10000",
     }
     if master is not None:
         builder = builder.master(master)
