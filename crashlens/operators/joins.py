@@ -42,10 +42,13 @@ def join_count(left: DataFrame, right: DataFrame, keys: Sequence[str], by_left:
     keys, by_left, by_right = list(keys), list(by_left), list(by_right)
     lc = left.groupBy(*keys, *by_left).agg(F.count(F.lit(1)).alias("_nl"))
     rc = right.groupBy(*keys, *by_right).agg(F.count(F.lit(1)).alias("_nr"))
-    joined = lc.join(rc, keys, "inner")
     product = F.col("_nl") * F.col("_nr")
     if not by_left and not by_right:
+        # Both sides come out of aggregations hash-partitioned on exactly the
+        # join keys: a merge join needs no exchange (and spills if it must).
+        joined = lc.join(rc.hint("merge"), keys, "inner")
         return joined.agg(F.coalesce(F.sum(product), F.lit(0)).cast("bigint").alias(name))
+    joined = lc.join(rc, keys, "inner")
     return joined.groupBy(*by_left, *by_right).agg(F.sum(product).cast("bigint").alias(name))
 
 
