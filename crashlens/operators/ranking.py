@@ -6,7 +6,8 @@ task. None of the operators here does that with unbounded input:
 * ``top_per_group`` partitions by the group (and Catalyst adds a
   ``WindowGroupLimit`` so each task keeps only ``n`` rows per group early).
 * ``rank_band`` ranks only the ``hi`` best *distinct values* (a bounded set),
-  then keeps the matching rows by a broadcast null-safe semi join.
+  then keeps the matching rows by a broadcast null-safe join (the band's
+  values are distinct, so each row matches at most once and gets its rank).
 * ``dense_rank_all`` numbers all distinct values with range partitioning and
   per-partition offsets, the distributed ``zipWithIndex`` pattern.
 """
