@@ -95,7 +95,8 @@ def _run_table(spark: SparkSession, name: str, fn, files: int | None, t: CrashTa
 
 
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
-               stage_distinct: bool = True, parallelism: int = 4, retries: int = 1) -> DataFrame:
+               stage_distinct: bool = True, parallelism: int = 4, retries: int = 1,
+               pool: str | None = None) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
     ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
@@ -112,6 +113,13 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     jobs += [partial(_run_table, spark, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
 
     def attempt(job) -> tuple:
+        # Jobs carry the analysis name (event log, UI on a cluster) and, if
+        # given, run in a FAIR scheduler pool; both are per-thread properties.
+        sc = spark.sparkContext
+        name = job.args[0] if job.func is _run_count else job.args[1]
+        sc.setJobDescription(f"crashlens {name}")
+        if pool:
+            sc.setLocalProperty("spark.scheduler.pool", pool)
         # Spark already retries tasks and stages; an analysis that still fails
         # (e.g. repeated executor loss) is run once more. Outputs are written
         # with overwrite, so a re-run is idempotent.
@@ -125,8 +133,8 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     if parallelism <= 1:
         rows = [attempt(job) for job in jobs]
     else:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(attempt, jobs))
+        with ThreadPoolExecutor(max_workers=parallelism) as executor:
+            rows = list(executor.map(attempt, jobs))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -144,11 +152,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--infer-schema", action="store_true")
     parser.add_argument("--parallelism", type=int, default=4, help="analyses submitted at once")
+    parser.add_argument("--pool", default=None, help="FAIR scheduler pool for the analyses' jobs")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("crashlens-report").getOrCreate()
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
                          fmt=args.format, infer=args.infer_schema)
-    status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism)
+    status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism,
+                        pool=args.pool)
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))
     status.show(truncate=False)
 
