@@ -98,3 +98,23 @@ def test_top_per_group_keeps_best_with_tie_break(spark, data):
         if g not in best or (-n, e) < (-best[g][1], best[g][0]):
             best[g] = (e, n)
     assert got == sorted((g, e, n) for g, (e, n) in best.items())
+
+
+@SETTINGS
+@given(left=rows, right=rows)
+def test_having_match_is_exists(spark, left, right):
+    from crashlens.operators import having_match
+
+    got = Counter(tuple(r) for r in having_match(frame(spark, left), frame(spark, right), ["k"]).collect())
+    right_keys = {k for k, _ in right if k is not None}
+    assert got == Counter((k, v) for k, v in left if k is not None and k in right_keys)
+
+
+@SETTINGS
+@given(data=rows)
+def test_count_distinct_per_counts_distinct_tuples(spark, data):
+    from crashlens.operators import count_distinct_per
+
+    got = {r.k: r.n for r in count_distinct_per(frame(spark, data), ["k"], ["v"]).collect()}
+    want = Counter(k for k, _ in set(data))
+    assert got == dict(want)
