@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF001
+from crashlens.plans import registry
 from oracle_check import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,11 @@ def test_matches_oracle(spark, con, name):
     assert result["match"], result
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["VEH_MAKE_ID", "n"]
