@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix, mix_sql
 
 DOCUMENT_COLUMNS = "doc_id, text, lang, source, n_chars"
@@ -19,12 +20,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to shares that follow the square root of each source's size, shuffled globally."""
     return mix(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op6_mix_sources": op6_mix_sources,
 }
 
