@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crashlens.llm.counters import summed_counters
 from crashlens.llm.graph import components
 from crashlens.llm.tables import remove, written
 from crashlens.llm.words import WHITE_SPACE, U64, _mix, raw_bytes, shingle_sets, shrink, slices, split_words, windows
 
 COUNTER_BITS = 20
-COUNTER_SLICES = 64
 SKETCH = 64  # values compared to estimate a similarity
 BLOCK = 512  # members of a list compared with each other at once
 
@@ -51,42 +51,14 @@ def _least(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _counters(docs: DataFrame, length: int) -> np.ndarray:
     """Shingle occurrences over all documents, by the top bits of the hash (a fixed number of counters)."""
-    size = 1 << COUNTER_BITS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = raw_bytes(part.column("text"))
-                _, hashes = windows(split_words(data, offsets, WHITE_SPACE, lower=True), length)
-                table += np.bincount(shrink(hashes, COUNTER_BITS), minlength=size)
-        cut = np.split(table, COUNTER_SLICES)
-        keep = [i for i, x in enumerate(cut) if x.any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keep, pa.int32()), pa.array([_narrow(cut[i]) for i in keep], pa.binary())], ["slice", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(_widen(x.as_py()) for x in table.column("counts"))
-        return pa.table({"slice": pa.array([table.column("slice")[0].as_py()], pa.int32()), "counts": pa.array([_narrow(total)], pa.binary())})
-
-    schema = "slice int, counts binary"
-    parts = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(count, schema)
-    table = np.zeros(size, dtype=np.int64)
-    for row in parts.groupBy("slice").applyInArrow(add, schema).collect():  # COUNTER_SLICES rows at most
-        width = size // COUNTER_SLICES
-        table[row["slice"] * width : (row["slice"] + 1) * width] = _widen(bytes(row["counts"]))
-    return table
-
-
-def _narrow(x: np.ndarray) -> bytes:
-    for kind in (np.uint8, np.uint16, np.uint32):
-        if x.max() <= np.iinfo(kind).max:
-            return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
-    return bytes([8]) + x.astype(np.uint64).tobytes()
-
-
-def _widen(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, dtype=f"u{x[0]}", offset=1).astype(np.int64)
+    def count(batch: pa.RecordBatch, table: np.ndarray) -> None:
+        for part in slices(batch, "text"):
+            data, offsets = raw_bytes(part.column("text"))
+            _, hashes = windows(split_words(data, offsets, WHITE_SPACE, lower=True), length)
+            table += np.bincount(shrink(hashes, COUNTER_BITS), minlength=len(table))
+
+    return summed_counters(docs.where(F.col("text").isNotNull()).select("text"), 1 << COUNTER_BITS, count)
 
 
 def _frequency_classes(table: np.ndarray) -> np.ndarray:

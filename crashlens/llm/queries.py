@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix, mix_sql
 
@@ -25,6 +27,15 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in documents, by document."""
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to shares that follow the square root of each source's size, shuffled globally."""
     return mix(_table(spark, sf_dir, "documents"))
@@ -32,6 +43,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_decontaminate": op5_decontaminate,
     "op6_mix_sources": op6_mix_sources,
 }
 
