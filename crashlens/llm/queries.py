@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix, mix_sql
+from crashlens.llm.substring_dedup import remove_repeats
 
 DOCUMENT_COLUMNS = "doc_id, text, lang, source, n_chars"
 
@@ -22,6 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word passages that a document with a smaller id has."""
+    left = remove_repeats(_table(spark, sf_dir, "documents"))
+    kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
@@ -42,6 +50,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_remove_repeats": op1_remove_repeats,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix_sources": op6_mix_sources,
