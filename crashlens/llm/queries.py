@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix, mix_sql
+from crashlens.llm.quality import held_out, score, train
 from crashlens.llm.substring_dedup import remove_repeats
 
+QUALITY_THRESHOLD = 0.3
 DOCUMENT_COLUMNS = "doc_id, text, lang, source, n_chars"
 
 
@@ -49,11 +51,20 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by a model trained on labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= QUALITY_THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"), "n_passages", "top_passage")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix_sources": op6_mix_sources,
+    "op8_quality": op8_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
