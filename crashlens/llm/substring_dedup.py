@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crashlens.llm.counters import summed_counters
 from crashlens.llm.words import WHITE_SPACE, U64, Words, raw_bytes, slices, split_words, windows
@@ -204,8 +205,9 @@ def _without(words: Words, data: bytes, low: int, high: int, gone: np.ndarray) -
     return b"".join(out).decode("utf-8", "replace")
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 13, group: int = GROUP) -> DataFrame:
-    """``(key, text, n_words, n_removed, spans)`` for every row of ``docs``.
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 13, group: int = GROUP,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(key, text, n_words, n_removed, spans)`` and the ``carry`` columns for every row of ``docs``.
 
     A word is removed if it lies in a window of ``window`` consecutive words (runs
     of anything but ASCII white space) whose sequence also starts in a document
@@ -216,10 +218,12 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     ``key`` must be an integer column. Rows that share an id count as one
     document and do not remove each other's words. Null texts have no words
     and stay null; rows with a null id neither lose words nor make others lose
-    any. Other columns are not read.
+    any. Columns not in ``carry`` are not read; one that is called ``n_words``,
+    ``n_removed`` or ``spans`` cannot be carried.
     """
-    source = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text"))
-    usable = source.where(F.col("_key").isNotNull() & F.col("text").isNotNull())
+    more = [f"_carried{i}" for i in range(len(carry))]
+    source = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text"), *(F.col(c).alias(m) for c, m in zip(carry, more)))
+    usable = source.where(F.col("_key").isNotNull() & F.col("text").isNotNull()).select("_key", "text")
     prefixes, _, total = find_prefixes(usable, window, group)
     blocks = 2 * (total // BLOCK // 2) + 7  # odd
     found = _repeats(_suffixes(usable, prefixes, window, blocks), blocks)
@@ -263,11 +267,15 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
                     for c, v in zip(out, (row, kept, n, removed, spans)):
                         out[c].append(v)
         kinds = {"_key": pa.int64(), "text": pa.string(), "n_words": pa.int64(), "n_removed": pa.int64(), "spans": _SPANS}
-        return pa.table({c: pa.array(out[c], kinds[c]) for c in out})
+        return pa.table({c: pa.array(out[c], kinds[c]) for c in out} | {m: left.column(m) for m in more})
 
-    schema = "_key long, text string, n_words long, n_removed long, spans array<struct<start:int,end:int>>"
+    span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
+    long = T.LongType()
+    schema = T.StructType().add("_key", long).add("text", T.StringType()).add("n_words", long).add("n_removed", long).add("spans", T.ArrayType(span))
+    for m in more:
+        schema = schema.add(source.schema[m])
     done = source.withColumn("block", block).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, schema)
-    return done.withColumnRenamed("_key", key)
+    return done.withColumnsRenamed({"_key": key, "text": text} | dict(zip(more, carry)))
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
