@@ -1,4 +1,4 @@
-"""A fixed number of counters over all rows of a table."""
+"""A fixed number of counters or flags over all rows of a table."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _SLICES = 64
 
@@ -50,3 +51,16 @@ def summed_counters(df: DataFrame, size: int, count: Callable[[pa.RecordBatch, n
     for row in df.mapInArrow(tasks, schema).groupBy("slice").applyInArrow(add, schema).collect():  # _SLICES rows at most
         total[row["slice"]] = _unpack(bytes(row["counts"]))
     return total.reshape(-1)[:size]
+
+
+def hash_flags(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """``2**bits`` flags: those of the top bits of the 64-bit hashes in ``column`` are set."""
+    value = F.shiftrightunsigned(column, 64 - bits)
+    rows = df.groupBy(F.bitmap_bucket_number(value).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("flags"))
+    out = np.zeros(1 << bits, dtype=bool)
+    for row in rows.collect():  # one row for each 32768 flags
+        flags = np.unpackbits(np.frombuffer(bytes(row["flags"]), dtype=np.uint8), bitorder="little")
+        # Bucket b holds the values from 32768 (b - 1) + 1 on; value 0 has bucket 0 for itself.
+        values = np.flatnonzero(flags) + (row["bucket"] - 1) * len(flags) + 1 if row["bucket"] else np.zeros(1, dtype=np.int64)
+        out[values[values < len(out)]] = True
+    return out

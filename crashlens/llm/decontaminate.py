@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crashlens.llm.counters import hash_flags
 from crashlens.llm.tables import remove, written
 from crashlens.llm.words import NOT_ALNUM, Words, raw_bytes, shrink, slices, split_words, windows
 
@@ -41,19 +42,6 @@ def _joined(words: Words, low: int, high: int) -> str:
     return b" ".join(data[s:e].tobytes() for s, e in zip(words.start[low:high], words.end[low:high])).decode("utf-8", "replace")
 
 
-def _bitmap(tokens: DataFrame) -> np.ndarray:
-    """Flags of the tokens' hashes, by their top bits."""
-    value = F.shiftrightunsigned("token", 64 - BITMAP_BITS)
-    rows = tokens.groupBy(F.bitmap_bucket_number(value).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"))
-    flags = np.zeros(1 << BITMAP_BITS, dtype=bool)
-    for row in rows.collect():  # one row for each 32768 bits
-        bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), dtype=np.uint8), bitorder="little")
-        # Buckets are numbered from 1 for values from 1 on; value 0 lies in bucket 0.
-        values = (row["bucket"] - 1) * len(bits) + 1 + np.flatnonzero(bits) if row["bucket"] > 0 else np.flatnonzero(bits) * 0
-        flags[values] = True
-    return flags
-
-
 def item_windows(items: DataFrame, item: str, text: str, window: int, shingle: int) -> DataFrame:
     """``(item, words, window, size, offset, token)``: every shingle of every window of every item."""
 
@@ -144,12 +132,12 @@ def occurrences(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text:
     source = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
     tokens = written(item_windows(items, item, item_text, window, shingle), "item-windows")
     sizes = [r["size"] for r in tokens.select("size").distinct().collect()]  # at most `shingle` numbers
-    flags = {m: _bitmap(tokens.where(F.col("size") == m)) for m in sizes}
+    flags = {m: hash_flags(tokens.where(F.col("size") == m), "token", BITMAP_BITS) for m in sizes}
     known = tokens.join(_frequencies(source, flags), ["size", "token"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     rarest = F.min(F.struct("n", "token", "offset", "size"))
     prefix = known.groupBy("window", "words").agg(rarest.alias("r")).where("r.n > 0")
     prefix = written(prefix.select("window", "words", "r.size", "r.token", "r.offset"), "item-prefixes")
-    flags = {m: _bitmap(prefix.where(F.col("size") == m)) for m in sizes}
+    flags = {m: hash_flags(prefix.where(F.col("size") == m), "token", BITMAP_BITS) for m in sizes}
     found = written(_occurrences(source, flags, window), "occurrences")
     spread = found.select("_key", "_hash", "n_words", F.explode("found").alias("f")).select("_key", "_hash", "n_words", "f.*")
     start = F.col("at") - F.col("offset")

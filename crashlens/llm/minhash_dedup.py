@@ -12,9 +12,11 @@
    are first paired with one hub (the member with the fewest rarer values), so
    a list costs as many pairs as it has members.
 3. **Filters.** The place of the shared value in both sketches bounds the
-   overlap; after that the union of two fixed-size sketches estimates the
-   similarity, and pairs far below the threshold (six standard deviations) go.
-4. **Exact Jaccard** on the full sets confirms a link.
+   overlap; after that the union of two sketches of ``SKETCH`` values estimates
+   the similarity, and pairs far below the threshold (six standard deviations)
+   go.
+4. **Exact Jaccard** on the full sets confirms a link. Only documents that
+   still stand in a pair have their full sets made and sent.
 5. A second round pairs members of a list that the first round left in
    *different* components, in blocks, so that a hot list is shared out and a
    group of copies is never expanded into its pairs.
@@ -22,20 +24,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.counters import summed_counters
+from crashlens.llm.counters import hash_flags, summed_counters
 from crashlens.llm.graph import components
 from crashlens.llm.tables import remove, written
 from crashlens.llm.words import WHITE_SPACE, U64, _mix, raw_bytes, shingle_sets, shrink, slices, split_words, windows
 
 COUNTER_BITS = 20
-SKETCH = 64  # values compared to estimate a similarity
+SKETCH = 32  # values compared to estimate a similarity
+FLAG_BITS = 23  # logarithm of the flags that tell which documents' full sets are wanted
 BLOCK = 512  # members of a list compared with each other at once
 
 
@@ -188,25 +191,57 @@ def _hub_lists(postings: DataFrame, percent: int, hubs: int = 4) -> DataFrame:
     return postings.repartition("value").sortWithinPartitions("value", "place", "class").mapInArrow(make, schema)
 
 
-def _across(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``a`` < ``b``) of list members that lie in different components and pass the filter."""
+def _floor(percent: int) -> float:
+    """The share of a sketch's values that linked sets share, less six standard deviations."""
+    t = percent / 100
+    return t - 6 * (t * (1 - t) / SKETCH) ** 0.5
+
+
+def _marks(sketches: pa.Array) -> np.ndarray:
+    """16 bits of each sketch value; -1 where a set has fewer values."""
+    data, offsets = raw_bytes(sketches)
+    counts = np.diff(offsets) // 8
+    out = np.full((len(counts), SKETCH), -1, dtype=np.int32)
+    out[np.arange(SKETCH) < counts[:, None]] = np.frombuffer(data.tobytes(), dtype=U64) & U64(0xFFFF)
+    return out
+
+
+def _enough(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
+    """Row by row, whether two sets of marks agree in ``share`` of the smaller one's."""
+    out = np.zeros(len(x), dtype=bool)
+    for at in range(0, len(x), 4096):
+        a, b = x[at : at + 4096], y[at : at + 4096]
+        both = ((a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]).any(axis=2).sum(axis=1)
+        out[at : at + 4096] = both >= np.floor(share * np.minimum((a >= 0).sum(axis=1), (b >= 0).sum(axis=1)))
+    return out
+
+
+def _across(lists: DataFrame, parts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a`` < ``b``) of list members that lie in different components and pass the filters."""
+    share = _floor(percent)
     labelled = lists.join(parts.select(F.col("id").alias("class"), "component"), "class", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "class"))
+    labelled = written(labelled.withColumn("component", F.coalesce("component", "class")), "lists-labelled")
     several = (
         labelled.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high").select("value")
     )
     several = written(several, "lists-open")
-    labelled = written(labelled, "lists-labelled")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.hash("class"), blocks)
+    left = written(labelled.join(several, "value", "left_semi"), "lists-left")
     spread = (
-        labelled.join(several, "value", "left_semi")
-        .withColumn("mine", mine)
+        left.join(sketches.select("class", "sketch"), "class")
+        .withColumn("mine", F.pmod(F.hash("class"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "class", "n", "place", "component")
+        .select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "class", "n", "place", "component", "sketch")
     )
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = _marks(batch.column("sketch")).astype(np.uint16)
+            n = np.minimum(batch.column("n").to_numpy(), SKETCH)
+            raw = pa.array([m[:k].tobytes() for m, k in zip(marks, n.tolist())], pa.binary())
+            yield batch.set_column(batch.schema.get_field_index("sketch"), "sketch", raw)
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["value", "i", "j"]
         for rows in _runs(batches, keys):
@@ -216,10 +251,14 @@ def _across(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
             edges = [0, *np.flatnonzero(change), len(change)]
             found_a, found_b = [], []
             for low, high in zip(edges[:-1], edges[1:]):
-                if high - low < 2:
-                    continue
                 who, n, place, part, block = (rows[c][low:high] for c in ("class", "n", "place", "component", "mine"))
+                if high - low < 2 or (part == part[0]).all():
+                    continue
                 n, place = n.astype(np.int64), place.astype(np.int64)
+                marks = np.full((high - low, SKETCH), -1, dtype=np.int32)
+                for at, raw in enumerate(rows["sketch"][low:high]):
+                    own = np.frombuffer(raw, dtype=np.uint16)
+                    marks[at, : len(own)] = own
                 i, j = rows["i"][low], rows["j"][low]
                 left = np.flatnonzero(block == i)
                 right = left if i == j else np.flatnonzero(block == j)
@@ -227,48 +266,79 @@ def _across(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
                     x = left[at : at + BLOCK, None]
                     ok = _may_link(n[x], place[x], n[right], place[right], percent) & (part[x] != part[right])
                     a, b = np.nonzero(ok & ((who[x] < who[right]) | (i != j)))
-                    found_a.append(who[left[at + a]])
-                    found_b.append(who[right[b]])
+                    a, b = left[at + a], right[b]
+                    good = _enough(marks[a], marks[b], share)
+                    found_a.append(who[a[good]])
+                    found_b.append(who[b[good]])
             if found_a:
                 a, b = np.concatenate(found_a), np.concatenate(found_b)
                 ab = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 yield _batch({"a": ab[:, 0].copy(), "b": ab[:, 1].copy()})
 
-    pairs = spread.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j").mapInArrow(make, "a long, b long")
-    found = written(pairs.distinct(), "pairs-open")
-    remove(several, labelled)
+    packed = spread.mapInArrow(pack, spread.schema)
+    pairs = packed.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j").mapInArrow(make, "a long, b long")
+    found = written(pairs.distinct(), "pairs-across")
+    remove(several, labelled, left)
     return found
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    own = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
-    hub = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
+def _estimated(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose similarity, estimated from the union of both sketches, may reach the threshold."""
+    share = _floor(percent)
+
+    def likely(x: np.ndarray, y: np.ndarray) -> bool:
+        union = np.union1d(x, y)[:SKETCH]
+        shared = np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)
+        return shared.mean() >= share
+
+    return _judged(pairs, sketches, "sketch", likely)
 
-    def similar(x: np.ndarray, y: np.ndarray) -> bool:
-        if len(x) > SKETCH and len(y) > SKETCH:
-            union = np.union1d(x[:SKETCH], y[:SKETCH])[:SKETCH]
-            shared = np.isin(union, x[:SKETCH], assume_unique=True) & np.isin(union, y[:SKETCH], assume_unique=True)
-            t = percent / 100
-            if shared.mean() < t - 6 * (t * (1 - t) / SKETCH) ** 0.5:
-                return False
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * both >= percent * (len(x) + len(y) - both)
+
+def _judged(pairs: DataFrame, values: DataFrame, column: str, good: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """The pairs for whose two sorted hash arrays ``good`` holds."""
+    own = values.select(F.col("class").alias("b"), F.col(column).alias("set_b"))
+    hub = values.select(F.col("class").alias("a"), F.col(column).alias("set_a"))
+
+    def arrays(column: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), dtype=U64) for x in column]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, left_at = raw_bytes(batch.column("set_a"))
-            right, right_at = raw_bytes(batch.column("set_b"))
-            keep = [
-                similar(np.frombuffer(left[left_at[i] : left_at[i + 1]].tobytes(), dtype=U64), np.frombuffer(right[right_at[i] : right_at[i + 1]].tobytes(), dtype=U64))
-                for i in range(batch.num_rows)
-            ]
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+            keep = pa.array([good(x, y) for x, y in zip(arrays(batch.column("set_a")), arrays(batch.column("set_b")))], pa.bool_())
+            yield batch.select(["a", "b"]).filter(keep)
 
     return pairs.join(own, "b").join(hub, "a").select("a", "b", "set_a", "set_b").mapInArrow(make, "a long, b long")
 
 
+def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, length: int, percent: int, name: str) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = classes.join(wanted, "class", "left_semi").select(F.xxhash64("_key").alias("h"))
+    flags = np.packbits(hash_flags(wanted, "h", FLAG_BITS), bitorder="little")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = shrink(batch.column("h").to_numpy().view(U64), FLAG_BITS)
+            chosen = batch.filter(pa.array((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            for part in slices(chosen, "text"):
+                found, hashes = _sets(part.column("text"), length)
+                sizes, ids = _set_ids(found, hashes, part.num_rows)
+                at = np.concatenate([[0], np.cumsum(sizes)])
+                raw = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+                yield _batch({"class": ids, "shingles": pa.array(raw, pa.binary())})
+
+    texts = source.where(F.col("text").isNotNull() & F.col("_key").isNotNull()).select(F.xxhash64("_key").alias("h"), "text")
+    sets = written(texts.mapInArrow(fill, "class long, shingles binary"), f"sets-{name}")
+
+    def similar(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    links = written(_judged(pairs, sets, "shingles", similar), f"links-{name}")
+    remove(sets)
+    return links
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -289,40 +359,32 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             for part in slices(batch, "text"):
                 found, hashes = _sets(part.column("text"), shingle)
                 sizes, ids = _set_ids(found, hashes, part.num_rows)
-                yield _batch({"_key": part.column("_key"), "n": sizes.astype(np.int32), "class": pa.array(ids, mask=sizes == 0)})
+                at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+                raw = [hashes[a : a + min(n, SKETCH)].tobytes() for a, n in zip(at.tolist(), sizes.tolist())]
+                yield _batch({"_key": part.column("_key"), "n": sizes.astype(np.int32), "class": pa.array(ids, mask=sizes == 0), "sketch": pa.array(raw, pa.binary())})
 
     key_type = source.schema["_key"].dataType.simpleString()
-    sized = written(source.mapInArrow(measure, f"_key {key_type}, n int, class long"), "sizes")
-    classes = _frequency_classes(_counters(source, shingle))
-    lists = written(_hub_lists(_postings(source, shingle, percent, classes), percent), "lists")
+    sized = written(source.mapInArrow(measure, f"_key {key_type}, n int, class long, sketch binary"), "sizes")
+    lists = _hub_lists(_postings(source, shingle, percent, _frequency_classes(_counters(source, shingle))), percent)
+    lists = written(lists, "lists")
     postings = lists.where("kind = 0").select("value", "class", "n", "place", "size")
-    first = lists.where("kind = 1").select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b"))
-    first = written(first.distinct(), "pairs")
-
-    # Full sets of the classes that stand in some list, one document for each.
-    wanted = postings.select("class").distinct()
-    one = sized.where("class is not null and _key is not null").groupBy("class").agg(F.min("_key").alias("_key"))
-    one = written(one.join(wanted, "class", "left_semi").select("_key", "class"), "members")
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found, hashes = _sets(part.column("text"), shingle)
-                sizes, ids = _set_ids(found, hashes, part.num_rows)
-                at = np.concatenate([[0], np.cumsum(sizes)])
-                raw = [hashes[at[i] : at[i + 1]].tobytes() for i in range(part.num_rows)]
-                yield _batch({"class": ids, "shingles": pa.array(raw, pa.binary())}).filter(pa.array(ids == part.column("class").to_numpy()))
-
-    texts = source.where(F.col("text").isNotNull()).join(one, "_key").select("text", "class")
-    sets = written(texts.mapInArrow(fill, "class long, shingles binary"), "sets")
-    links = written(_confirmed(first, sets, percent), "links")
+    hubs = lists.where("kind = 1").select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b"))
+    hubs = written(hubs.distinct(), "pairs")
+    # One row, with one document, for each class that stands in some list.
+    classes = sized.where("class is not null and _key is not null").groupBy("class").agg(F.min("_key").alias("_key"), F.min("sketch").alias("sketch"))
+    classes = written(classes.join(postings.select("class").distinct(), "class", "left_semi"), "classes")
+
+    first = written(_estimated(hubs, classes, percent), "pairs-likely")
+    links = _confirmed(first, classes, source, shingle, percent, "hubs")
     parts = components(links)
-    across = _across(postings, parts, percent)
-    more = written(_confirmed(across.join(first, ["a", "b"], "left_anti"), sets, percent), "links-across")
-    if not more.isEmpty():
+    across = _across(postings, parts, classes, percent)
+    second = written(_estimated(across.join(hubs, ["a", "b"], "left_anti"), classes, percent), "pairs-likely")
+    if not second.isEmpty():
+        more = _confirmed(second, classes, source, shingle, percent, "across")
         remove(parts)
         parts = components(links.unionByName(more))
-    remove(lists, first, one, sets, links, across, more)
+        remove(more)
+    remove(lists, hubs, classes, first, links, across, second)
 
     some = sized.where("class is not null").join(parts.withColumnRenamed("id", "class"), "class", "left")
     some = written(some.select("_key", "n", F.coalesce("component", "class").alias("component")), "members-labelled")
