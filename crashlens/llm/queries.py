@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlens.llm.decontaminate import contamination
+from crashlens.llm import embedding_dedup, language_id
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix, mix_sql
 from crashlens.llm.quality import held_out, score, train
@@ -37,6 +38,18 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op2_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of embeddings of one label with a cosine of 0.93 or more."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by n-gram profiles of documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.learn(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 13 words in documents, by document."""
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -61,7 +74,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
+    "op2_embedding_duplicates": op2_embedding_duplicates,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix_sources": op6_mix_sources,
     "op8_quality": op8_quality,
