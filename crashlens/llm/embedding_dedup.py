@@ -4,7 +4,7 @@ Vectors are scaled to length 1, where a cosine of c is a distance of
 ``sqrt(2 - 2c)``. A table has ``PROJECTIONS`` random Gaussian directions;
 a vector's bucket is the list of its projections, shifted at random, divided
 by ``WIDTH`` and rounded down. With ``TABLES`` independent tables a pair at
-the threshold 0.93 shares no bucket with a chance of about 5e-6, closer pairs
+the threshold 0.93 shares no bucket with a chance of about 3e-6, closer pairs
 with less. Vectors of a bucket are compared by exact cosines in double
 precision, a pair only in the first table in which it shares a bucket, so each
 link counts once.
@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlens.llm.graph import components
+from crashlens.llm.minhash_dedup import _runs
 from crashlens.llm.tables import remove, written
 from crashlens.llm.words import U64, _mix
 
-TABLES, PROJECTIONS, WIDTH = 40, 6, 1.5
+TABLES, PROJECTIONS, WIDTH = 24, 4, 1.5
 BLOCK = 512
 
 
@@ -109,11 +110,12 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
                 codes = _codes(x / norms[:, None], seed)
                 columns = [part.column(c) for c in ("class", "weight", "_label", "width")]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(codes.reshape(-1)), TABLES).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*columns, lists, part.column("_vec")], ["class", "weight", "_label", "width", "codes", "_vec"])
+                raw = [pa.array([row.tobytes() for row in table], pa.binary()) for table in (codes, x)]
+                yield pa.RecordBatch.from_arrays([*columns, lists, *raw], ["class", "weight", "_label", "width", "codes", "_codes", "_vec"])
 
-    projected = written(classes.mapInArrow(project, "class long, weight long, _label string, width int, codes array<long>, _vec array<double>"), "vector-codes")
-    placed = projected.select("class", "weight", "_label", "width", "codes", "_vec", F.posexplode("codes").alias("table", "code"))
+    projected = written(classes.mapInArrow(project, "class long, weight long, _label string, width int, codes array<long>, _codes binary, _vec binary"), "vector-codes")
     buckets = ["_label", "width", "table", "code"]
+    placed = projected.select("_label", "width", F.posexplode("codes").alias("table", "code"), "class", "weight", "_codes", "_vec")
     sizes = projected.select("_label", "width", F.posexplode("codes").alias("table", "code")).groupBy(*buckets).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sizes = written(sizes, "bucket-sizes")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -121,42 +123,55 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         placed.join(sizes, buckets).withColumn("mine", F.pmod(F.hash("class"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
-        .select(*buckets, "i", "j", "mine", "class", "weight", "codes", "_vec")
+        .select(*buckets, "i", "j", "mine", "class", "weight", "_codes", "_vec")
     )
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        number, who = table.column("table")[0].as_py(), table.column("class").to_numpy()
-        mine, weight = table.column("mine").to_numpy(), table.column("weight").to_numpy()
-        x, norms = _unit(table.column("_vec").chunk(0))
-        codes = table.column("codes").chunk(0).flatten().to_numpy().reshape(len(who), TABLES)[:, :number]
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    keys = [*buckets, "i", "j"]
+
+    def group(rows: dict[str, np.ndarray], low: int, high: int) -> tuple[np.ndarray, ...]:
+        """Vectors with links, their links, and the ends of a spanning forest, of one pair of blocks."""
+        number, who, mine, weight = int(rows["table"][low]), rows["class"][low:high], rows["mine"][low:high], rows["weight"][low:high]
+        x = np.frombuffer(b"".join(rows["_vec"][low:high]), dtype=np.float64).reshape(high - low, -1)
+        codes = np.frombuffer(b"".join(rows["_codes"][low:high]), dtype=np.int64).reshape(high - low, -1)[:, :number]
+        norms = np.sqrt(np.einsum("ij,ij->i", x, x))
+        i, j = rows["i"][low], rows["j"][low]
         left = np.flatnonzero(mine == i)
         right = left if i == j else np.flatnonzero(mine == j)
-        links, ends = np.zeros(len(who), dtype=np.int64), []
+        links, ends_a, ends_b = np.zeros(high - low, dtype=np.int64), [], []
         for at in range(0, len(left), BLOCK):
             own = left[at : at + BLOCK]
             # (x . y) >= c |x| |y| in double precision
-            near = x[own] @ x[right].T >= cosine * (norms[own][:, None] * norms[right])
-            a, b = np.nonzero(near)
+            a, b = np.nonzero(x[own] @ x[right].T >= cosine * (norms[own][:, None] * norms[right]))
             a, b = own[a], right[b]
-            fresh = (a < b) if i == j else np.ones(len(a), dtype=bool)
-            a, b = a[fresh], b[fresh]
-            if number:
+            if i == j:
+                a, b = a[a < b], b[a < b]
+            if number and len(a):  # not if an earlier table has the pair
                 fresh = ~(codes[a] == codes[b]).any(axis=1)
                 a, b = a[fresh], b[fresh]
-            np.add.at(links, a, weight[b])
-            np.add.at(links, b, weight[a])
-            keep = _forest(a, b)
-            ends.append((who[a[keep]], who[b[keep]]))
+            if len(a):
+                np.add.at(links, a, weight[b])
+                np.add.at(links, b, weight[a])
+                keep = _forest(a, b)
+                ends_a.append(who[a[keep]])
+                ends_b.append(who[b[keep]])
         some = np.flatnonzero(links)
-        a, b = (np.concatenate(e) for e in zip(*ends)) if ends else (np.zeros(0, np.int64),) * 2
-        return pa.table({
-            "class": pa.array(np.concatenate([who[some], a])), "links": pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64)])),
-            "other": pa.array(np.concatenate([np.zeros(len(some), np.int64), b]), mask=np.concatenate([np.ones(len(some), bool), np.zeros(len(a), bool)])),
-        })
-
-    found = written(spread.groupBy(*buckets, "i", "j").applyInArrow(compare, "class long, links long, other long"), "vector-links")
+        none = np.zeros(0, dtype=np.int64)
+        return who[some], links[some], np.concatenate([none, *ends_a]), np.concatenate([none, *ends_b])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, keys):
+            change = np.zeros(len(rows["class"]), dtype=bool)
+            for key in keys:
+                change[1:] |= rows[key][1:] != rows[key][:-1]
+            edges = [0, *np.flatnonzero(change).tolist(), len(change)]
+            found = [group(rows, low, high) for low, high in zip(edges[:-1], edges[1:]) if high - low > 1]
+            if found:
+                who, links, a, b = (np.concatenate(x) for x in zip(*found))
+                other = pa.array(np.concatenate([np.zeros(len(who), np.int64), b]), mask=np.arange(len(who) + len(b)) < len(who))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([who, a])), pa.array(np.concatenate([links, np.zeros(len(a), np.int64)])), other], ["class", "links", "other"])
+
+    compared = spread.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "class long, links long, other long")
+    found = written(compared, "vector-links")
     parts = components(found.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     counts = written(found.where("links > 0").groupBy("class").agg(F.sum("links").alias("links")), "vector-counts")
     per_class = classes.select("class", "weight").join(counts, "class", "left").join(parts.withColumnRenamed("id", "class"), "class", "left")
