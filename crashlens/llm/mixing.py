@@ -95,25 +95,3 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, key: str =
         .repartitionByRange("shuffle_key")
         .sortWithinPartitions("shuffle_key", key)
     )
-
-
-def mix_sql(table: str = "documents", columns: str = "doc_id, source", *, temper: float = 0.5, seed: str = "mix") -> str:
-    """DuckDB SQL for the rows of :func:`mix` without ``weights`` and with ``rows=1``."""
-    def u(*parts: str) -> str:
-        text = " || ':' || ".join(parts)
-        return f"(CAST('0x' || substr(md5({text}), 1, {_HEX}) AS BIGINT) / {float(1 << 4 * _HEX)!r})"
-
-    doc = "coalesce(CAST(doc_id AS VARCHAR), '')"
-    return f"""
-WITH counts AS (SELECT source, count(*) AS n FROM {table} GROUP BY source),
-shares AS (SELECT source, n, pow(CAST(n AS DOUBLE), {temper!r}) AS share FROM counts),
-rates AS (SELECT source, share / (SELECT sum(share) FROM shares) * (SELECT sum(n) FROM shares) / n AS rate FROM shares),
-terms AS (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1.0)) AS p FROM rates, range(0, 1000) t(k)
-          WHERE k <= ceil(rate + 12 * sqrt(rate) + 24)),
-steps AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM terms),
-drawn AS (SELECT *, {u(f"'{seed}'", doc)} AS u FROM {table}),
-copies AS (SELECT *, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.cdf <= d.u) AS copies
-           FROM drawn d),
-rows AS (SELECT *, unnest(range(1, copies + 1)) AS i FROM copies)
-SELECT {columns}, CAST(i AS INTEGER) AS copy, {u(f"'{seed}-order'", doc, "CAST(i AS VARCHAR)")} AS shuffle_key FROM rows
-"""

@@ -11,15 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crashlens.llm import embedding_dedup, html_text, language_id, licenses, oracles, token_counts
 from crashlens.llm.decontaminate import contamination
-from crashlens.llm import embedding_dedup, language_id
 from crashlens.llm.minhash_dedup import near_duplicates
-from crashlens.llm.mixing import mix, mix_sql
+from crashlens.llm.mixing import mix
 from crashlens.llm.quality import held_out, score, train
 from crashlens.llm.substring_dedup import remove_repeats
+from crashlens.llm.tables import written
 
 QUALITY_THRESHOLD = 0.3
-DOCUMENT_COLUMNS = "doc_id, text, lang, source, n_chars"
+#: A public vocabulary of ranks, a file that every machine has.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Fixed value: the pattern that goes with the vocabulary.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +68,31 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: how many, which, and the nearest."""
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.array_max(F.transform("matches", lambda m: F.struct(m["dice"].alias("dice"), m["licence"].alias("licence"))))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["licence"])))
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licences"),
+        best["licence"].alias("best_licence"), best["dice"].alias("best_dice"),
+    )
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after its personal data are redacted, from trees kept over the edits."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    how = {"path": VOCABULARY, "pattern": PATTERN}
+    trees = written(token_counts.build(docs, **how), "token-trees")
+    edits = written(token_counts.redactions(docs), "token-edits")
+    new = written(token_counts.update(docs, trees, edits, **how).drop("text", "chars", "tokens"), "token-updates")
+    new = new.select("doc_id", "hash", F.col("n_tokens").alias("n_new"), "n_edits", "n_encoded")
+    return trees.join(new, ["doc_id", "hash"], "left").select(
+        "doc_id", "n_tokens", F.coalesce("n_new", "n_tokens").alias("n_tokens_edited"),
+        F.coalesce("n_edits", F.lit(0)).alias("n_edits"), F.coalesce("n_encoded", F.lit(0)).alias("n_encoded"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by a model trained on labelled ones that are not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,6 +101,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"), "n_passages", "top_passage")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    found = html_text.extract(pages, html_text.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_embedding_duplicates": op2_embedding_duplicates,
@@ -79,17 +115,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix_sources": op6_mix_sources,
+    "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
+    "op9_token_counts": op9_token_counts,
+    "op10_html_text": op10_html_text,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "op6_mix_sources": mix_sql("documents", DOCUMENT_COLUMNS),
-}
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return dict(oracles.ORACLE_SQL)
