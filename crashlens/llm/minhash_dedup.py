@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crashlens.llm.counters import hash_flags, summed_counters
@@ -228,11 +228,13 @@ def _across(lists: DataFrame, parts: DataFrame, sketches: DataFrame, percent: in
     several = written(several, "lists-open")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     left = written(labelled.join(several, "value", "left_semi"), "lists-left")
+    # Two members that have the same open list just before this one meet there already.
+    before = F.coalesce(F.lag("value").over(Window.partitionBy("class").orderBy("place")), "class")
     spread = (
-        left.join(sketches.select("class", "sketch"), "class")
+        left.join(sketches.select("class", "sketch"), "class").withColumn("before", before)
         .withColumn("mine", F.pmod(F.hash("class"), blocks))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "class", "n", "place", "component", "sketch")
+        .select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "class", "n", "place", "component", "before", "sketch")
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,6 +257,7 @@ def _across(lists: DataFrame, parts: DataFrame, sketches: DataFrame, percent: in
                 if high - low < 2 or (part == part[0]).all():
                     continue
                 n, place = n.astype(np.int64), place.astype(np.int64)
+                before = rows["before"][low:high]
                 marks = np.full((high - low, SKETCH), -1, dtype=np.int32)
                 for at, raw in enumerate(rows["sketch"][low:high]):
                     own = np.frombuffer(raw, dtype=np.uint16)
@@ -264,7 +267,7 @@ def _across(lists: DataFrame, parts: DataFrame, sketches: DataFrame, percent: in
                 right = left if i == j else np.flatnonzero(block == j)
                 for at in range(0, len(left), BLOCK):
                     x = left[at : at + BLOCK, None]
-                    ok = _may_link(n[x], place[x], n[right], place[right], percent) & (part[x] != part[right])
+                    ok = _may_link(n[x], place[x], n[right], place[right], percent) & (part[x] != part[right]) & (before[x] != before[right])
                     a, b = np.nonzero(ok & ((who[x] < who[right]) | (i != j)))
                     a, b = left[at + a], right[b]
                     good = _enough(marks[a], marks[b], share)
