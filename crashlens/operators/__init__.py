@@ -6,7 +6,6 @@ analysis stays one Catalyst plan.
 
 from crashlens.operators.aggregates import count_distinct_per, count_groups_having, global_count
 from crashlens.operators.joins import (
-    broadcast_if_bounded,
     having_match,
     join_count,
     join_renaming,
@@ -16,15 +15,14 @@ from crashlens.operators.ranking import (
     dense_rank_all,
     number_per_group,
     rank_band,
+    rank_band_wide,
     top_per_group,
     top_values_ranked,
 )
-from crashlens.operators.topk import BROADCAST_MAX_ROWS, best_k, in_top_k, ordered, top_k
+from crashlens.operators.topk import best_k, in_top_k, ordered, top_k
 
 __all__ = [
-    "BROADCAST_MAX_ROWS",
     "best_k",
-    "broadcast_if_bounded",
     "count_distinct_per",
     "count_groups_having",
     "dense_rank_all",
@@ -37,6 +35,7 @@ __all__ = [
     "number_per_group",
     "ordered",
     "rank_band",
+    "rank_band_wide",
     "top_k",
     "top_per_group",
     "top_values_ranked",

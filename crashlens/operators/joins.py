@@ -65,15 +65,3 @@ def join_renaming(left: DataFrame, right: DataFrame, keys: Sequence[str], left_s
     lr = left.select(*[F.col(c).alias(c + left_suffix) if c in clash else F.col(c) for c in left.columns])
     rr = right.select(*[F.col(c).alias(c + right_suffix) if c in clash else F.col(c) for c in right.columns])
     return lr.join(rr, keys, how)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so its cost is bounded however large ``df`` turns out to be.
-    Beyond the bound the DataFrame is returned as is and the join is left
-    to AQE (sort-merge, or broadcast if the measured size allows).
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df

@@ -5,11 +5,18 @@ task. None of the operators here does that with unbounded input:
 
 * ``top_per_group`` partitions by the group (and Catalyst adds a
   ``WindowGroupLimit`` so each task keeps only ``n`` rows per group early).
-* ``rank_band`` ranks only the ``hi`` best *distinct values* (a bounded set),
-  then keeps the matching rows by a broadcast null-safe join (the band's
-  values are distinct, so each row matches at most once and gets its rank).
+* ``rank_band`` ranks only the ``hi`` best *distinct values* (a bounded set,
+  for a small constant band), then keeps the matching rows by a null-safe
+  join (the band's values are distinct, so each row matches at most once).
+  ``rank_band_wide`` takes any band, by the ranks of ``dense_rank_all``.
 * ``dense_rank_all`` numbers all distinct values with range partitioning and
-  per-partition offsets, the distributed ``zipWithIndex`` pattern.
+  per-partition offsets, the distributed ``zipWithIndex`` pattern;
+  ``number_per_group`` numbers the rows of groups likewise, so a group that
+  holds most rows is shared out.
+
+The last two fix their range partitions by a checkpoint in the shared folder,
+an action when they are called; its files go with the DataFrame if
+``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
 """
 
 from __future__ import annotations
@@ -19,7 +26,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crashlens.operators.topk import BROADCAST_MAX_ROWS
 from crashlens.session import checkpoint_dir
 
 
@@ -38,10 +44,35 @@ def top_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Col
 
 
 def number_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column],
-                     rank_name: str = "rn") -> DataFrame:
-    """``row_number()`` per group, all rows kept."""
+                     rank_name: str = "rn", partitions: int | None = None) -> DataFrame:
+    """``row_number()`` per group, all rows kept, however many of them one group has.
+
+    Rows are range-partitioned on (group, order) and sorted, so a large group
+    lies in several consecutive partitions. A row's number is its number
+    within its partition and group, plus the rows of the group in earlier
+    partitions; only a partition's first group can have such rows, so there
+    is at most one offset per partition.
+    """
     group = [group] if isinstance(group, str) else list(group)
-    return df.withColumn(rank_name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    spark = df.sparkSession
+    checkpoint_dir(spark)  # reliable checkpoints need the shared folder
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    placed = (
+        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+        .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
+    key = F.struct(*group)
+    per_part = placed.groupBy("_pid", key.alias("_group")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_group").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.withColumn("_offset", F.sum("_n").over(earlier)).filter(F.col("_offset") > 0)  # at most a row per partition
+    offsets = F.broadcast(offsets.select(F.col("_pid").alias("_at"), "_group", "_offset"))
+    within = F.row_number().over(Window.partitionBy("_pid", *group).orderBy("_mid"))
+    joined = placed.withColumn("_within", within).join(
+        offsets, (F.col("_pid") == F.col("_at")) & key.eqNullSafe(F.col("_group")), "left")
+    number = F.col("_within") + F.coalesce("_offset", F.lit(0))
+    return joined.withColumn(rank_name, number.cast("int")).select(*df.columns, rank_name)
 
 
 def top_values_ranked(df: DataFrame, value: str, hi: int, descending: bool = True,
@@ -61,18 +92,23 @@ def rank_band(df: DataFrame, value: str, lo: int, hi: int, descending: bool = Tr
     """Rows of ``df`` whose ``value`` has a dense rank in ``[lo, hi]``.
 
     Same rows (as a bag) as ``dense_rank().over(Window.orderBy(value))``
-    filtered to the band, without the single-task window. The band holds at
-    most ``hi - lo + 1`` values, so broadcasting it is safe; the join is
-    null-safe because a NULL value can hold a rank too.
+    filtered to the band, without the single-task window over them. The
+    ``hi`` best values pass through one task: use it for small constant
+    bands. A limit carries its size, so Spark chooses the join by it; the
+    join is null-safe because a NULL value can hold a rank too.
     """
     band = top_values_ranked(df, value, hi, descending, "_rnk").filter(F.col("_rnk").between(lo, hi))
     band = band.select(F.col(value).alias("_band_value"), "_rnk")
-    if hi - lo + 1 <= BROADCAST_MAX_ROWS:
-        band = F.broadcast(band)
     matched = df.join(band, F.col(value).eqNullSafe(F.col("_band_value")), "inner").drop("_band_value")
     return matched.withColumnRenamed("_rnk", rank_name) if rank_name else matched.drop("_rnk")
 
 
+def rank_band_wide(spark: SparkSession, df: DataFrame, value: str, lo: int, hi: int, descending: bool = True,
+                   rank_name: str = "rnk") -> DataFrame:
+    """As :func:`rank_band`, for a band of any width: all values are ranked by :func:`dense_rank_all`."""
+    return dense_rank_all(spark, df, value, descending, rank_name).filter(F.col(rank_name).between(lo, hi))
+
+
 def dense_rank_all(spark: SparkSession, df: DataFrame, value: str, descending: bool = True,
                    rank_name: str = "rnk", partitions: int | None = None) -> DataFrame:
     """``dense_rank()`` of ``value`` over the whole table, distributed.

@@ -7,10 +7,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest set broadcast to every executor. Sets built by ``top_k`` are bounded
-# by their ``k``; anything larger goes through a shuffled join instead.
-BROADCAST_MAX_ROWS = 100_000
-
 
 def ordered(measure: str, keys: Sequence[str]) -> list[Column]:
     """Measure descending, then keys ascending: a total order, so ties are
@@ -33,20 +29,16 @@ def top_k(df: DataFrame, keys: str | Sequence[str], k: int, measure: Column | No
     return out if keep_measure else out.drop(name)
 
 
-def in_top_k(df: DataFrame, column: str, top: DataFrame, top_column: str | None = None,
-             bound: int | None = None) -> DataFrame:
+def in_top_k(df: DataFrame, column: str, top: DataFrame, top_column: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``column`` is one of the values in ``top``.
 
     A ``left_semi`` join inside the same plan instead of collecting the set
-    to the driver and pasting it in as literals. The set is broadcast only
-    when its size is bounded (``bound``, e.g. the ``k`` of a top-k) and that
-    bound is small; otherwise the join is left to AQE. NULL never matches,
-    just like ``isin``.
+    to the driver and pasting it in as literals. A set made by a limit
+    carries its size, so Spark broadcasts it by its own threshold and
+    shuffles a larger one. NULL never matches, just like ``isin``.
     """
     top_column = top_column or column
     right = top.select(F.col(top_column).alias("_member"))
-    if bound is not None and bound <= BROADCAST_MAX_ROWS:
-        right = F.broadcast(right)
     return df.join(right, F.col(column) == F.col("_member"), "left_semi")
 
 

@@ -64,7 +64,7 @@ BAD_VEHICLE_STATES = ["NA", "98"]
 
 FACTOR_COLUMNS = ["CONTRIB_FACTR_1_ID", "CONTRIB_FACTR_2_ID", "CONTRIB_FACTR_P1_ID"]
 VEHICLE = ["CRASH_ID", "UNIT_NBR"]
-TOTAL = "Death_And_Inj_Count"
+TOTAL = "_harmed"
 
 
 def a01_crashes_male_deaths(t: CrashTables, threshold: int = 2) -> DataFrame:
@@ -146,11 +146,16 @@ def a07_ethnicity_per_body(t: CrashTables) -> DataFrame:
 def _alcohol_flags(t: CrashTables) -> tuple[DataFrame, DataFrame]:
     """Distinct rows of each side with its half of the alcohol predicate as a
     two-valued flag (a function of the row, so flag and distinct commute)."""
-    unit_flag = is_true(any_of(FACTOR_COLUMNS, lambda c: c.isin(ALCOHOL_FACTORS))).alias("_u_alc")
-    person_flag = is_true(F.col("PRSN_ALC_RSLT_ID") == ALCOHOL_POSITIVE).alias("_p_alc")
-    units = t.distinct_units().select(*VEHICLE, unit_flag)
-    people = t.distinct_person().filter(F.col("DRVR_ZIP").isNotNull()).select(*VEHICLE, "DRVR_ZIP", person_flag)
-    return units, people
+    unit_flag = is_true(any_of(FACTOR_COLUMNS, lambda c: c.isin(ALCOHOL_FACTORS)))
+    person_flag = is_true(F.col("PRSN_ALC_RSLT_ID") == ALCOHOL_POSITIVE)
+    with_zip = t.person.filter(F.col("DRVR_ZIP").isNotNull())
+    # Only vehicles with a sign on either side can count: keys from narrow scans,
+    # semi-joined below the wide distincts (both depend on the row only).
+    keys = t.units.filter(unit_flag).select(*VEHICLE).unionByName(with_zip.filter(person_flag).select(*VEHICLE))
+    units = t.units_rows if t.units_rows is not None else having_match(t.units, keys, VEHICLE).distinct()
+    people = t.person_rows if t.person_rows is not None else having_match(with_zip, keys, VEHICLE).distinct()
+    people = people.filter(F.col("DRVR_ZIP").isNotNull())
+    return units.select(*VEHICLE, unit_flag.alias("_u_alc")), people.select(*VEHICLE, "DRVR_ZIP", person_flag.alias("_p_alc"))
 
 
 def a08_zips_alcohol(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
@@ -198,12 +203,16 @@ def _speeding_units_in_top_sets(t: CrashTables, colours: int = 10, states: int =
     top_colours = top_k(t.units.filter(not_in("VEH_COLOR_ID", BAD_COLOURS)), "VEH_COLOR_ID", colours)
     top_states = top_k(t.units.filter(not_in("VEH_LIC_STATE_ID", BAD_VEHICLE_STATES)), "VEH_LIC_STATE_ID", states)
     speeding = t.units.filter(any_of(FACTOR_COLUMNS, lambda c: c.like(SPEED_PATTERN)))
-    speeding = in_top_k(speeding, "VEH_LIC_STATE_ID", top_states, bound=states)
-    return in_top_k(speeding, "VEH_COLOR_ID", top_colours, bound=colours)
+    speeding = in_top_k(speeding, "VEH_LIC_STATE_ID", top_states)
+    return in_top_k(speeding, "VEH_COLOR_ID", top_colours)
 
 
 def a10_speeding_makes_top_colour_state(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
     """Top makes by rows of (distinct licensed persons ⋈ speeding top-colour/state vehicles)."""
-    licensed = t.distinct_person().filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES))
-    counts = join_count(licensed, _speeding_units_in_top_sets(t), VEHICLE, by_right=["VEH_MAKE_ID"])
+    speeding = _speeding_units_in_top_sets(t)
+    people = t.person if t.person_rows is None else t.person_rows
+    # The semi join depends on the row only, so it may go below the wide distinct.
+    licensed = having_match(people.filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES)), speeding, VEHICLE)
+    licensed = licensed.distinct() if t.person_rows is None else licensed
+    counts = join_count(licensed, speeding, VEHICLE, by_right=["VEH_MAKE_ID"])
     return best_k(counts, "n", "VEH_MAKE_ID", k, keep_measure=with_counts)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from crashlens.functions import any_of, first_digits, first_int, not_in
 from crashlens.operators import (
     best_k,
-    broadcast_if_bounded,
     count_distinct_per,
     count_groups_having,
     dense_rank_all,
@@ -25,9 +24,11 @@ from crashlens.operators import (
     number_per_group,
     ordered,
     rank_band,
+    rank_band_wide,
     top_k,
     top_per_group,
 )
+from crashlens.plans.analyses import FACTOR_COLUMNS
 from crashlens.sources.fixture import load_fixture
 
 
@@ -37,8 +38,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Fixed values used by the operator queries.
 SEGMENTS = ["BUILDING", "MACHINERY"]
-FACTORS = ["CONTRIB_FACTR_1_ID", "CONTRIB_FACTR_2_ID", "CONTRIB_FACTR_P1_ID"]
-DIMENSION_MAX_ROWS = 10_000
 
 
 def op_project(spark, sf_dir):
@@ -97,6 +96,12 @@ def op_filter_then_project(spark, sf_dir):
     return _t(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
 
 
+def op_select_then_filter(spark, sf_dir):
+    """The filter comes after the projection that drops its column."""
+    orders = _t(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", "o_custkey").filter(orders.o_orderpriority == "1-URGENT")
+
+
 def op_having(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     sums = li.groupBy("l_orderkey").agg(F.sum("l_linenumber").alias("sum_line"))
@@ -111,12 +116,12 @@ def op_having_count(spark, sf_dir):
 def op_in_top_k(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     top = top_k(li, "l_suppkey", 3)
-    return in_top_k(li, "l_suppkey", top, bound=3).select("l_orderkey", "l_linenumber", "l_suppkey")
+    return in_top_k(li, "l_suppkey", top).select("l_orderkey", "l_linenumber", "l_suppkey")
 
 
 def op_any_column(spark, sf_dir):
     units = load_fixture(spark, sf_dir).units
-    return units.filter(any_of(FACTORS, lambda c: c.like("%SPEED%"))).select("CRASH_ID", "UNIT_NBR", *FACTORS)
+    return units.filter(any_of(FACTOR_COLUMNS, lambda c: c.like("%SPEED%"))).select("CRASH_ID", "UNIT_NBR", *FACTOR_COLUMNS)
 
 
 def op_join_one_key(spark, sf_dir):
@@ -131,7 +136,8 @@ def op_join_two_keys(spark, sf_dir):
 
 
 def op_join_broadcast(spark, sf_dir):
-    nation = broadcast_if_bounded(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name"), DIMENSION_MAX_ROWS)
+    """A small side that Spark broadcasts by its own size threshold."""
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "inner").select("c_custkey", "n_name")
 
@@ -218,6 +224,11 @@ def op_rank_band(spark, sf_dir):
     return rank_band(part, "p_size", 3, 5, rank_name="rnk")
 
 
+def op_rank_band_wide(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return rank_band_wide(spark, part, "p_size", 3, 40)
+
+
 def op_sort_desc(spark, sf_dir):
     supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     return supplier.orderBy(F.col("s_acctbal").desc_nulls_last(), F.col("s_suppkey").asc_nulls_last())
@@ -269,6 +280,7 @@ OPERATOR_SQL: dict[str, str] = {
     "op_filter_bool": "SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem "
                       "WHERE (l_returnflag = 'R' OR l_returnflag = 'A') AND NOT (l_linestatus = 'F')",
     "op_filter_then_project": "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "op_select_then_filter": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'",
     "op_having": "SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS sum_line FROM lineitem "
                  "GROUP BY l_orderkey HAVING sum(l_linenumber) > 20",
     "op_having_count": "SELECT count(*) AS n FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey "
@@ -312,6 +324,8 @@ OPERATOR_SQL: dict[str, str] = {
                         "WHERE rn = 1",
     "op_rank_band": "SELECT p_partkey, p_size, rnk FROM (SELECT p_partkey, p_size, CAST(dense_rank() OVER "
                     "(ORDER BY p_size DESC NULLS LAST) AS INTEGER) AS rnk FROM part) r WHERE rnk BETWEEN 3 AND 5",
+    "op_rank_band_wide": "SELECT p_partkey, p_size, rnk FROM (SELECT p_partkey, p_size, CAST(dense_rank() OVER "
+                         "(ORDER BY p_size DESC NULLS LAST) AS INTEGER) AS rnk FROM part) r WHERE rnk BETWEEN 3 AND 40",
     "op_sort_desc": "SELECT s_suppkey, s_acctbal FROM supplier ORDER BY s_acctbal DESC NULLS LAST, s_suppkey",
     "op_top_k": "SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand "
                 "ORDER BY n DESC, p_brand ASC NULLS LAST LIMIT 5",

@@ -18,11 +18,11 @@ from crashlens.plans import analyses as A
 from crashlens.plans import variants as V
 from crashlens.plans.operator_queries import OPERATOR_QUERIES, OPERATOR_SQL
 from crashlens.plans.oracles import ANALYSES_SQL, FIX, VARIANTS_SQL
-from crashlens.plans.report import all_counts
+from crashlens.plans.report import TABLE_ANALYSES, all_counts, run_report
 from crashlens.session import scratch_path
-from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed
+from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed, read_tables, stage
 from crashlens.sources.fixture import load_fixture
-from crashlens.sources.sink import write_csv
+from crashlens.sources.sink import read_result, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,7 +79,33 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A07's result (body styles with commas) written as one CSV file and read back."""
     path = scratch_path(spark, "a07-csv")
     write_csv(A.a07_ethnicity_per_body(load_fixture(spark, sf_dir)), path, files=1)
-    return read_csv_typed(spark, path)
+    return read_result(spark, path)
+
+
+def sink_csv_null_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column with NULLs (driver zips) through the sink and back: no row is lost."""
+    path = scratch_path(spark, "zips-csv")
+    write_csv(load_fixture(spark, sf_dir).person.select("DRVR_ZIP"), path, files=None)
+    return read_result(spark, path)
+
+
+def src_named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three crash tables as CSV folders, read by name, answering A08 with counts."""
+    paths = {name: scratch_path(spark, f"{name}-csv") for name in ("person", "units", "damages")}
+    for name, df in load_fixture(spark, sf_dir).as_dict().items():
+        df.write.option("header", True).csv(paths[name])
+    return A.a08_zips_alcohol(read_tables(spark, paths), with_counts=True)
+
+
+def src_staged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A07 on staged tables and staged distinct rows."""
+    return A.a07_ethnicity_per_body(stage(spark, load_fixture(spark, sf_dir), with_distinct=True))
+
+
+def report_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch report: what became of each analysis, and how many rows it wrote."""
+    status = run_report(spark, load_fixture(spark, sf_dir), scratch_path(spark, "report"))
+    return status.select("analysis", "kind", "status", "n")
 
 
 def report_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +116,11 @@ SOURCE_QUERIES: dict[str, Query] = {
     "src_csv_typed": src_csv_typed,
     "src_csv_inferred": src_csv_inferred,
     "sink_csv_roundtrip": sink_csv_roundtrip,
+    "sink_csv_null_roundtrip": sink_csv_null_roundtrip,
+    "src_named_tables": src_named_tables,
+    "src_staged_distinct": src_staged_distinct,
     "report_all_counts": report_all_counts,
+    "report_status": report_status,
 }
 
 
@@ -103,11 +133,23 @@ def _report_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _status_sql() -> str:
+    parts = [f"SELECT analysis, 'count' AS kind, 'success' AS status, n FROM ({_report_sql()}) counts"]
+    for name in TABLE_ANALYSES:
+        body = ANALYSES_SQL[name][len(FIX):]
+        parts.append(f"SELECT '{name}' AS analysis, 'table' AS kind, 'success' AS status, count(*) AS n FROM ({FIX} {body}) q_{name[:3]}")
+    return " UNION ALL ".join(parts)
+
+
 SOURCE_SQL: dict[str, str] = {
     "src_csv_typed": "SELECT * FROM part",
     "src_csv_inferred": "SELECT * FROM nation",
     "sink_csv_roundtrip": ANALYSES_SQL["a07_ethnicity_per_body"],
+    "sink_csv_null_roundtrip": f"{FIX} SELECT DRVR_ZIP FROM persons",
+    "src_named_tables": ANALYSES_SQL["a08_zips_alcohol_counts"],
+    "src_staged_distinct": ANALYSES_SQL["a07_ethnicity_per_body"],
     "report_all_counts": _report_sql(),
+    "report_status": _status_sql(),
 }
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlens.plans import analyses as A
-from crashlens.sources.catalog import CrashTables, read_csv_typed, read_tables, stage
+from crashlens.sources.catalog import CrashTables, read_tables, stage, unstage
 from crashlens.sources.sink import write_csv
 
 # Analyses that give one number, in report order.
@@ -58,8 +58,6 @@ STATUS_SCHEMA = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
-PREVIEW_ROWS = 25
-
 
 def all_counts(t: CrashTables) -> DataFrame:
     """The count analyses as one lazy ``(analysis, n)`` DataFrame."""
@@ -76,27 +74,22 @@ def _run_count(name: str, fn, t: CrashTables) -> tuple:
         n = fn(t).first()["n"]
         return (name, "count", "success", int(n), str(n), None, time.time() - start, None)
     except Exception as err:  # reported as a row, the run goes on
-        return (name, "count", "error", None, None, None, time.time() - start, _short(err))
+        return (name, "count", "error", None, None, None, time.time() - start, _error_text(err))
 
 
-def _run_table(spark: SparkSession, name: str, fn, files: int | None, t: CrashTables, out_dir: str) -> tuple:
+def _run_table(name: str, fn, files: int | None, t: CrashTables, out_dir: str) -> tuple:
     start = time.time()
     path = os.path.join(out_dir, f"{name}.csv")
     try:
-        write_csv(fn(t), path, files=files)
-        written = read_csv_typed(spark, path)
-        preview = written.limit(PREVIEW_ROWS + 1).collect()
-        n = written.count() if len(preview) > PREVIEW_ROWS else len(preview)
-        value = None if len(preview) > PREVIEW_ROWS else "; ".join(
-            ", ".join("" if v is None else str(v) for v in r) for r in preview)
-        return (name, "table", "success", int(n), value, path, time.time() - start, None)
+        n = write_csv(fn(t), path, files=files)
+        return (name, "table", "success", n, None, path, time.time() - start, None)
     except Exception as err:
-        return (name, "table", "error", None, None, path, time.time() - start, _short(err))
+        return (name, "table", "error", None, None, path, time.time() - start, _error_text(err))
 
 
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
                stage_distinct: bool = True, parallelism: int = 4, retries: int = 1,
-               pool: str | None = None) -> DataFrame:
+               pool: str | None = None, spread_to: int | None = None) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
     ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
@@ -105,19 +98,21 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     independent Spark jobs; up to ``parallelism`` of them are submitted at
     once from driver threads, so the scheduler can overlap their stages
     (use a FAIR pool on a shared cluster). Status rows come back in report
-    order whatever the completion order.
+    order whatever the completion order. A table result's rows are in the
+    files its ``path`` names, and ``n`` counts the rows that were written.
+    What was staged is deleted at the end, also after a failure.
     """
+    given = t
     if stage_tables or stage_distinct:
-        t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct)
+        t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct, spread_to=spread_to)
     jobs = [partial(_run_count, name, fn, t) for name, fn in COUNT_ANALYSES.items()]
-    jobs += [partial(_run_table, spark, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
+    jobs += [partial(_run_table, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
 
     def attempt(job) -> tuple:
         # Jobs carry the analysis name (event log, UI on a cluster) and, if
         # given, run in a FAIR scheduler pool; both are per-thread properties.
         sc = spark.sparkContext
-        name = job.args[0] if job.func is _run_count else job.args[1]
-        sc.setJobDescription(f"crashlens {name}")
+        sc.setJobDescription(f"crashlens {job.args[0]}")
         if pool:
             sc.setLocalProperty("spark.scheduler.pool", pool)
         # Spark already retries tasks and stages; an analysis that still fails
@@ -130,17 +125,17 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
             row = job()
         return row
 
-    if parallelism <= 1:
-        rows = [attempt(job) for job in jobs]
-    else:
-        with ThreadPoolExecutor(max_workers=parallelism) as executor:
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as executor:
             rows = list(executor.map(attempt, jobs))
+    finally:
+        if t is not given:
+            unstage(spark, t)
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def _short(err: Exception) -> str:
-    text = "".join(traceback.format_exception_only(type(err), err)).strip()
-    return text[:2000]
+def _error_text(err: Exception) -> str:
+    return "".join(traceback.format_exception_only(type(err), err)).strip()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -151,6 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="shared output folder")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--infer-schema", action="store_true")
+    parser.add_argument("--spread-to", type=int, default=None, help="partitions to deal staged input rows to")
     parser.add_argument("--parallelism", type=int, default=4, help="analyses submitted at once")
     parser.add_argument("--pool", default=None, help="FAIR scheduler pool for the analyses' jobs")
     args = parser.parse_args(argv)
@@ -158,7 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
                          fmt=args.format, infer=args.infer_schema)
     status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism,
-                        pool=args.pool)
+                        pool=args.pool, spread_to=args.spread_to)
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))
     status.show(truncate=False)
 

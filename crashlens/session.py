@@ -40,6 +40,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Checkpoint files go when the DataFrame that needs them is gone.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # No UI to show it, so keep little query history in the driver's
         # status store (plans of wide tables make each entry large).
         "spark.sql.ui.retainedExecutions": "50",
@@ -54,7 +56,6 @@ def build_session(
             # address; loopback keeps large task results reachable.
             conf["spark.driver.host"] = "127.0.0.1"
             conf["spark.driver.bindAddress"] = "127.0.0.1"
-            conf.setdefault("spark.driver.memory", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -88,6 +89,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             except Exception:
                 value = None
         if value:
+            if value.startswith("file:") and not _is_local(spark):
+                raise RuntimeError(f"{CHECKPOINT_KEY} is {value}, a folder of one machine; it must be a shared one")
             return value.rstrip("/")
         if not _is_local(spark):
             raise RuntimeError(
@@ -102,3 +105,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared folder for one written table."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, through the file system it lies in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.session import scratch_path
+from crashlens.session import remove_path, scratch_path
 from crashlens.sources.schemas import REQUIRED_COLUMNS, TABLE_TYPES
 
 
@@ -36,6 +36,7 @@ class CrashTables:
     damages: DataFrame
     person_rows: DataFrame | None = None  # distinct whole rows of person, if staged
     units_rows: DataFrame | None = None  # distinct whole rows of units, if staged
+    staged_paths: tuple[str, ...] = ()  # folders that `stage` wrote for these tables
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"person": self.person, "units": self.units, "damages": self.damages}
@@ -51,12 +52,14 @@ def read_csv_typed(spark: SparkSession, path: str, types: dict[str, T.DataType]
                    sep: str = ",") -> DataFrame:
     """Headed CSV; named columns cast to ``types``, the rest stay strings.
 
-    Columns are matched by header name, not position, so extra or reordered
-    columns in the file do no harm. ``try_cast`` turns a malformed number
-    into NULL instead of failing the job under ANSI mode. The CSV reader
-    prunes columns, so unused fields are never converted.
+    Columns are matched by header name, so extra or reordered columns do no
+    harm as long as all files below ``path`` have the same header; Spark
+    stops with an error at a file that has another one. ``try_cast`` turns a
+    malformed number into NULL instead of failing the job under ANSI mode
+    (:func:`malformed_counts` counts them). The CSV reader prunes columns,
+    so unused fields are never converted.
     """
-    raw = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
+    raw = _raw_csv(spark, path, sep)
     types = types or {}
     cols = [
         F.col(f"`{name}`").try_cast(types[name]).alias(name) if name in types else F.col(f"`{name}`")
@@ -65,6 +68,18 @@ def read_csv_typed(spark: SparkSession, path: str, types: dict[str, T.DataType]
     return raw.select(*cols)
 
 
+def _raw_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    return spark.read.options(header=True, sep=sep, mode="PERMISSIVE", enforceSchema=False).csv(path)
+
+
+def malformed_counts(spark: SparkSession, path: str, types: dict[str, T.DataType], sep: str = ",") -> DataFrame:
+    """``(column, n)``: values of each typed column that are there but that its type cannot hold."""
+    raw = _raw_csv(spark, path, sep)
+    bad = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull()).alias(c) for c, t in types.items() if c in raw.columns]
+    counts = raw.agg(*bad)
+    return counts.unpivot([], counts.columns, "column", "n")
+
+
 def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Headed CSV with ``inferSchema``: an extra pass over the data, opt-in only."""
     return spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
@@ -90,33 +105,26 @@ def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", in
                           for name in ("person", "units", "damages")})
 
 
-def stage(spark: SparkSession, tables: CrashTables, base: bool = True,
-          with_distinct: bool = False) -> CrashTables:
+def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_distinct: bool = False,
+          spread_to: int | None = None) -> CrashTables:
     """Write tables once as Parquet in the shared folder; read them back.
 
     ``base`` stages the three input tables: worth it for CSV (parsed once
     instead of in every analysis, then read column-pruned), pointless for
-    Parquet input. A source that arrives as fewer splits than the cluster
-    has cores (one gzip CSV, one Parquet row group) is spread round-robin
-    here, once, so every later scan runs in parallel; round-robin is
-    skew-proof, and Spark sorts before it so a retried task rebuilds the
-    same partitions. ``with_distinct`` also stages the distinct whole rows
-    of ``units`` and ``person``: one all-column shuffle each, instead of one
-    per analysis that deduplicates.
+    Parquet input. ``spread_to`` deals the input rows round-robin to so many
+    partitions first, for a source that arrives as few splits (one gzip
+    CSV); Spark sorts before that, so a retried task rebuilds the same
+    partitions. ``with_distinct`` also stages the distinct whole rows of
+    ``units`` and ``person``: one all-column shuffle each, instead of one per
+    analysis that deduplicates. :func:`unstage` deletes what was written.
     """
-    try:
-        target = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        target = 0
+    paths: list[str] = list(tables.staged_paths)
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        try:
-            narrow = df.rdd.getNumPartitions() < target
-        except Exception:
-            narrow = False
         path = scratch_path(spark, f"staged-{name.replace('_', '-')}")
-        (df.repartition(target) if narrow else df).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     def write_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         # independent writes: submitted together so their stages overlap
@@ -124,8 +132,20 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True,
             futures = {name: pool.submit(write, name, df) for name, df in frames.items()}
             return {name: f.result() for name, f in futures.items()}
 
-    staged = write_all(tables.as_dict()) if base else dict(tables.as_dict())
-    if with_distinct:
-        staged.update(write_all({"person_rows": staged["person"].distinct(),
-                                 "units_rows": staged["units"].distinct()}))
-    return CrashTables(**staged)
+    try:
+        frames = tables.as_dict()
+        if base:
+            frames = write_all({name: df.repartition(spread_to) if spread_to else df for name, df in frames.items()})
+        if with_distinct:
+            frames = frames | write_all({"person_rows": frames["person"].distinct(), "units_rows": frames["units"].distinct()})
+    except BaseException:
+        for path in paths[len(tables.staged_paths):]:
+            remove_path(spark, path)
+        raise
+    return CrashTables(**frames, staged_paths=tuple(paths))
+
+
+def unstage(spark: SparkSession, tables: CrashTables) -> None:
+    """Delete the folders that :func:`stage` wrote for ``tables``, which cannot be read after that."""
+    for path in tables.staged_paths:
+        remove_path(spark, path)

@@ -159,60 +159,22 @@ def fixture_cte_sql() -> str:
     return f"WITH units AS ({units}), persons AS ({persons}), damages AS ({damages})"
 
 
-# Source columns that identify a row; hashing on all of them spreads rows
-# evenly (only exact duplicate source rows would share a task).
-LINEITEM_ROW_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-ORDERS_ROW_KEY = ["o_orderkey", "o_custkey"]
-
-
-def spread(spark: SparkSession, df: DataFrame, row_key: list[str]) -> DataFrame:
-    """Give a source at least as many partitions as the cluster has cores.
-
-    A Parquet file with a single row group is one input split, so the whole
-    projection and the map side of every shuffle would run in one task.
-    Only then is the source hash-partitioned on its row key: no sort (unlike
-    round-robin), deterministic on retry, and the hash includes columns the
-    crash tables do not expose, so downstream plans keep their own,
-    skew-safe exchanges. A source that already splits finely (the normal
-    case at scale) is returned untouched: no extra shuffle.
-    """
-    try:
-        target = spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view
-        return df
-    return df if current >= target else df.repartition(target, *row_key)
-
-
 # Types of the source columns the fixture reads (the driver's tables).
 LINEITEM_COLUMNS = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
                     "l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING")
 ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING"
 
-_LOADED: dict[tuple[str, str], object] = {}
-
 
 def load_fixture(spark: SparkSession, sf_dir: str):
     """The three crash tables for one scale-factor folder of the test data.
 
     The sources are read with their known column types, so no footer-reading
     job runs to infer a schema, and only the columns the rules use are read.
-    The lazy tables are built once per session and folder, like the original
-    job's once-per-object table handles: later queries reuse the plan
-    objects (no data is cached; every query still scans and projects).
+    A source of few splits can be dealt out by the caller's choice of
+    ``spark.sql.files.maxPartitionBytes``; nothing is cached.
     """
     from crashlens.sources.catalog import CrashTables
 
-    try:
-        key = (spark.sparkContext.applicationId, sf_dir)
-    except Exception:  # Spark Connect
-        key = (str(id(spark)), sf_dir)
-    tables = _LOADED.get(key)
-    if tables is None:
-        lineitem = spread(spark, spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet"),
-                          LINEITEM_ROW_KEY)
-        orders = spread(spark, spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet"),
-                        ORDERS_ROW_KEY)
-        tables = CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))
-        _LOADED[key] = tables
-    return tables
+    lineitem = spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet")
+    return CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))

@@ -36,7 +36,7 @@ def test_rank_band_keeps_ties(spark):
 def test_empty_top_k_set_keeps_nothing(spark):
     df = spark.createDataFrame([("a",), ("b",)], "v string")
     empty = df.filter(F.lit(False))
-    assert in_top_k(df, "v", top_k(empty, "v", 3), bound=3).count() == 0
+    assert in_top_k(df, "v", top_k(empty, "v", 3)).count() == 0
 
 
 def test_top_k_ties_broken_by_key(spark):

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from crashlens.operators import (
-    broadcast_if_bounded,
     count_distinct_per,
     dense_rank_all,
     join_count,
+    number_per_group,
+    rank_band_wide,
 )
 
 
@@ -49,7 +50,19 @@ def test_count_distinct_per(spark):
     assert got == want
 
 
-def test_broadcast_if_bounded_checks_size(spark):
-    nation = spark.read.parquet(f"{SF001}/nation.parquet")
-    assert "broadcast" in str(broadcast_if_bounded(nation, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(broadcast_if_bounded(nation, 10)._jdf.queryExecution().logical()).lower()
+def test_numbering_splits_a_group_that_holds_most_rows(spark):
+    rows = [("hot", i * 7 % 1000) for i in range(1000)] + [(None, 3), (None, 1), ("b", 2)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = number_per_group(df, "g", [F.col("v").asc()], partitions=7).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.v, r.rn) for r in got if r.g == "hot") == [(i, i + 1) for i in range(1000)]
+    assert sorted((r.v, r.rn) for r in got if r.g is None) == [(1, 1), (3, 2)]
+    assert [(r.v, r.rn) for r in got if r.g == "b"] == [(2, 1)]
+
+
+def test_wide_band_equals_global_rank(spark):
+    df = spark.createDataFrame([(i % 50 if i % 9 else None,) for i in range(300)], "v int")
+    got = rank_band_wide(spark, df, "v", 10, 60).collect()
+    ranks = {v: i + 1 for i, v in enumerate([*sorted({r.v for r in df.collect() if r.v is not None}, reverse=True), None])}
+    assert all(ranks[r.v] == r.rnk for r in got)
+    assert len(got) == sum(10 <= ranks[r.v] <= 60 for r in df.collect())

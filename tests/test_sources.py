@@ -2,11 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import types as T
 
 from crashlens.plans import analyses as A
-from crashlens.sources.catalog import read_csv_inferred, read_csv_typed, read_table, stage
-from crashlens.sources.sink import write_csv
+from crashlens.sources.catalog import malformed_counts, read_csv_inferred, read_csv_typed, read_table, stage, unstage
+from crashlens.sources.sink import read_result, write_csv
 
 
 def _write_text(path, text):
@@ -45,13 +46,53 @@ def test_sink_quotes_commas_and_round_trips(spark, tables, tmp_out):
     assert len(parts) == 1
     text = open(os.path.join(tmp_out, parts[0])).read()
     assert '"PASSENGER CAR, 4-DOOR"' in text
-    assert sorted(read_csv_typed(spark, tmp_out).collect()) == sorted(result.collect())
+    assert sorted(read_result(spark, tmp_out).collect()) == sorted(result.collect())
+
+
+def test_sink_keeps_every_value(spark, tmp_out):
+    values = [None, "", "NA", " lead", "trail ", 'say "x"', "a,b", "back\\slash", "line\nbreak", "cr\r\nlf"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    assert write_csv(df, tmp_out) == len(values)
+    got = {r.i: r.v for r in read_result(spark, tmp_out, {"i": T.IntegerType()}).collect()}
+    assert {i: v.replace("\r\n", "\n") if v else v for i, v in got.items()} == {
+        i: v.replace("\r\n", "\n") if v else v for i, v in enumerate(values)}
+    one = os.path.join(tmp_out, "one")
+    assert write_csv(df.select("v").filter("v is null"), one) == 1
+    assert [tuple(r) for r in read_result(spark, one).collect()] == [(None,)]
+
+
+def test_files_of_other_column_order_are_not_misread(spark, tmp_out):
+    _write_text(os.path.join(tmp_out, "a"), "DAMAGED_PROPERTY,CRASH_ID\nNONE,3\n")
+    _write_text(os.path.join(tmp_out, "b"), "CRASH_ID,DAMAGED_PROPERTY\n4,FENCE\n")
+    df = read_csv_typed(spark, os.path.join(tmp_out, "*"), {"CRASH_ID": T.LongType()})
+    with pytest.raises(Exception, match="(?i)header"):
+        df.collect()
+
+
+def test_malformed_numbers_are_counted(spark, tmp_out):
+    _write_text(tmp_out, "CRASH_ID,DEATH_CNT\n1,0\n1.0,x\n,y\n")
+    types = {"CRASH_ID": T.LongType(), "DEATH_CNT": T.IntegerType()}
+    assert {r["column"]: r.n for r in malformed_counts(spark, tmp_out, types).collect()} == {"CRASH_ID": 1, "DEATH_CNT": 2}
 
 
 def test_stage_round_trips_tables(spark, tables):
     staged = stage(spark, tables)
     assert A.a04_hit_and_run_licensed(staged).collect()[0].n == 1853
-    assert staged.units.rdd.getNumPartitions() >= 1
+    assert len(staged.staged_paths) == 3
+    unstage(spark, staged)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in staged.staged_paths)
+
+
+def test_each_wide_distinct_of_stage_runs_once(spark, tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("stage-once", "stage")
+    try:
+        staged = stage(spark, tables, base=False, with_distinct=True)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(staged.staged_paths) == 2
+    # Threads of the two writes do not inherit the group: no job may run outside them.
+    assert tracker.getJobIdsForGroup("stage-once") == []
 
 
 def test_staged_distinct_rows_give_the_same_answers(spark, tables):
