@@ -7,8 +7,9 @@ the document's id and a seed, so a rerun or a lost executor gives the same
 copies. Copies are exploded and dealt out globally by a hash of (id, copy).
 
 Everything is DataFrame functions. The per-source table (rate and cumulative
-distribution) has one row per source; Spark chooses how to join it from its
-measured size, and splits a hot source's rows if it shuffles them.
+distribution) has one row per source and is written first, so Spark knows its
+size: it broadcasts a small one by its own threshold, and splits a hot source's
+rows if it must shuffle them.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crashlens.llm.tables import written
+
 #: 13 hex digits are 52 bits, which a double holds exactly.
 _HEX = 13
 
@@ -80,7 +83,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, key: str =
     ``shuffle_key`` are replaced. An empty table gives an empty result.
     """
     rates = source_rates(docs, weights, source=source, rows=rows, temper=temper)
-    steps = rates.select("_source", poisson_steps(F.col("rate")).alias("_steps"))
+    steps = written(rates.select("_source", poisson_steps(F.col("rate")).alias("_steps")), "mix-steps")
     drawn = docs.drop("copy", "shuffle_key").withColumn("_u", uniform(F.lit(seed), key))
     joined = drawn.join(steps, drawn[source].eqNullSafe(steps["_source"]), "inner")
     # Copies: how many steps of the distribution lie at or below the number drawn.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from crashlens.session import scratch_path
+from crashlens.session import remove_path, scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -25,7 +25,5 @@ def remove(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_written_path", None)
         if path:
-            spark: SparkSession = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove_path(df.sparkSession, path)
             df._written_path = None
