@@ -113,7 +113,7 @@ def forward(model: Model, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray,
     return p, a, z, h, v, u, m
 
 
-def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, *, steps: int = 600, rate: float = 0.02, decay: float = 1e-3, seed: int = 7) -> Model:
+def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray, *, steps: int = 200, rate: float = 0.05, decay: float = 1e-3, seed: int = 7) -> Model:
     """Full-batch Adam on the logistic loss, from a seeded start."""
     rng = np.random.default_rng(seed)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
