@@ -77,9 +77,9 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
 
     A match is ``(licence, dice, kind, start, end)`` with the template nearest to the
     part (the first by name of equals), if its coefficient is at least ``dice``;
-    ``start`` and ``end`` are bytes of the text's UTF-8 form. A part of which a line
-    or a smaller part already matches as well as it does is left out. Null and
-    empty texts, and texts with fewer than two words, match nothing.
+    ``start`` and ``end`` are bytes of the text's UTF-8 form. A part is left out if a
+    smaller part of it matches the same template as well. Null and empty texts,
+    and texts with fewer than two words, match nothing.
     """
     names = sorted(templates)
     sets = [np.unique(x) for x in _bigrams([templates[n] for n in names])]
@@ -111,7 +111,7 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
                         low, high = np.searchsorted(words.start, (offsets[i] + start, offsets[i] + end))
                         a, b = np.searchsorted(at, (low, high - 1))  # bigrams of which both words lie in the part
                         found = nearest(hashes[a:b]) if hit[a:b].any() else None
-                        if found and not any(start <= m["start"] and m["end"] <= end and m["dice"] >= found[0] for m in rows[i]):
+                        if found and not any(start <= m["start"] and m["end"] <= end and m["licence"] == found[1] and m["dice"] >= found[0] for m in rows[i]):
                             rows[i].append({"licence": found[1], "dice": found[0], "kind": kind, "start": start, "end": end})
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(rows, _MATCHES)], [*columns, "matches"])
 
