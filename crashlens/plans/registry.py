@@ -27,9 +27,14 @@ from crashlens.sources.sink import read_result, write_csv
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _fixture(spark: SparkSession, sf_dir: str) -> CrashTables:
+    """The crash tables, their single-split sources dealt to as many partitions as there are cores."""
+    return load_fixture(spark, sf_dir, spread_to=spark.sparkContext.defaultParallelism)
+
+
 def _on_fixture(fn: Callable[[CrashTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_fixture(spark, sf_dir))
+        return fn(_fixture(spark, sf_dir))
 
     run.__doc__ = fn.__doc__
     return run
@@ -78,38 +83,38 @@ def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A07's result (body styles with commas) written as one CSV file and read back."""
     path = scratch_path(spark, "a07-csv")
-    write_csv(A.a07_ethnicity_per_body(load_fixture(spark, sf_dir)), path, files=1)
+    write_csv(A.a07_ethnicity_per_body(_fixture(spark, sf_dir)), path, files=1)
     return read_result(spark, path)
 
 
 def sink_csv_null_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One column with NULLs (driver zips) through the sink and back: no row is lost."""
     path = scratch_path(spark, "zips-csv")
-    write_csv(load_fixture(spark, sf_dir).person.select("DRVR_ZIP"), path, files=None)
+    write_csv(_fixture(spark, sf_dir).person.select("DRVR_ZIP"), path, files=None)
     return read_result(spark, path)
 
 
 def src_named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three crash tables as CSV folders, read by name, answering A08 with counts."""
     paths = {name: scratch_path(spark, f"{name}-csv") for name in ("person", "units", "damages")}
-    for name, df in load_fixture(spark, sf_dir).as_dict().items():
+    for name, df in _fixture(spark, sf_dir).as_dict().items():
         df.write.option("header", True).csv(paths[name])
     return A.a08_zips_alcohol(read_tables(spark, paths), with_counts=True)
 
 
 def src_staged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A07 on staged tables and staged distinct rows."""
-    return A.a07_ethnicity_per_body(stage(spark, load_fixture(spark, sf_dir), with_distinct=True))
+    return A.a07_ethnicity_per_body(stage(spark, _fixture(spark, sf_dir), with_distinct=True))
 
 
 def report_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch report: what became of each analysis, and how many rows it wrote."""
-    status = run_report(spark, load_fixture(spark, sf_dir), scratch_path(spark, "report"))
+    status = run_report(spark, _fixture(spark, sf_dir), scratch_path(spark, "report"))
     return status.select("analysis", "kind", "status", "n")
 
 
 def report_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_counts(load_fixture(spark, sf_dir))
+    return all_counts(_fixture(spark, sf_dir))
 
 
 SOURCE_QUERIES: dict[str, Query] = {

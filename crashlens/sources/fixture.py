@@ -159,22 +159,31 @@ def fixture_cte_sql() -> str:
     return f"WITH units AS ({units}), persons AS ({persons}), damages AS ({damages})"
 
 
+# Source columns that identify a row; hashing on all of them spreads rows
+# evenly (only exact duplicate source rows would share a task).
+LINEITEM_ROW_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+ORDERS_ROW_KEY = ["o_orderkey", "o_custkey"]
+
 # Types of the source columns the fixture reads (the driver's tables).
 LINEITEM_COLUMNS = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
                     "l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING")
 ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING"
 
 
-def load_fixture(spark: SparkSession, sf_dir: str):
+def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None):
     """The three crash tables for one scale-factor folder of the test data.
 
     The sources are read with their known column types, so no footer-reading
     job runs to infer a schema, and only the columns the rules use are read.
-    A source of few splits can be dealt out by the caller's choice of
-    ``spark.sql.files.maxPartitionBytes``; nothing is cached.
+    ``spread_to`` hash-partitions the sources on their row keys first: for the
+    test folders, whose files are single row groups and so single splits. The
+    hash includes columns the crash tables do not expose, so downstream plans
+    keep their own exchanges. Nothing is cached.
     """
     from crashlens.sources.catalog import CrashTables
 
     lineitem = spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet")
+    if spread_to:
+        lineitem, orders = lineitem.repartition(spread_to, *LINEITEM_ROW_KEY), orders.repartition(spread_to, *ORDERS_ROW_KEY)
     return CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))
