@@ -33,6 +33,7 @@ PROFILE = 400  # n-grams of a language
 RANKED = 300  # n-grams of a document
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
+SLICE = 1 << 20  # bytes of text ranked at once
 _POINT = 21  # bits of a code point
 
 
@@ -103,7 +104,7 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 points, owner, _ = letters(part.column("text"))
                 names, which = np.unique(np.array(part.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
                 for size, (code, text_of) in zip(LENGTHS, _grams(points, owner, 1 << _POINT)):
@@ -203,7 +204,7 @@ def identify(docs: DataFrame, profiles: Profiles, *, text: str = "text") -> Data
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 pred, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
                 if ranker is not None:
                     far, ranked, count = ranker.distances(part.column(text))

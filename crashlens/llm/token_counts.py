@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlens.llm.counters import hash_flags
-from crashlens.llm.words import U64, shrink
+from crashlens.llm.words import U64, shrink, slices
 
 SEGMENT = 512  # characters
 FLAG_BITS = 23  # logarithm of the flags that tell which documents have edits
@@ -145,12 +145,13 @@ def build(docs: DataFrame, *, path: str, pattern: str, key: str = "doc_id", text
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = tokenizer(path, pattern)
         for batch in batches:
-            cut = [segments(x or "") for x in batch.column("text").to_pylist()]
-            tokens = [count(pieces) for pieces in cut]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_key"), batch.column("hash"), pa.array([sum(x) for x in tokens], pa.int64()),
-                 pa.array([list(map(len, pieces)) for pieces in cut], pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32()))],
-                [key, "hash", "n_tokens", "chars", "tokens"])
+            for part in slices(batch, "text"):
+                cut = [segments(x or "") for x in part.column("text").to_pylist()]
+                tokens = [count(pieces) for pieces in cut]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_key"), part.column("hash"), pa.array([sum(x) for x in tokens], pa.int64()),
+                     pa.array([list(map(len, pieces)) for pieces in cut], pa.list_(pa.int32())), pa.array(tokens, pa.list_(pa.int32()))],
+                    [key, "hash", "n_tokens", "chars", "tokens"])
 
     numbers = T.ArrayType(T.IntegerType())
     schema = T.StructType([T.StructField(key, source.schema["_key"].dataType)])
