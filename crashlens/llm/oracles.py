@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from crashlens.llm.licenses import TEMPLATES
+
 _HEX = 13  # hex digits of a hash that make a number
 
 _COMPONENTS = """
@@ -64,6 +66,34 @@ FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 
+def licences_sql(dice: float = 0.8) -> str:
+    """SQL for the query over ``scan``: parts by their lines, the nearest template of each."""
+    rows = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in item)) for item in sorted(TEMPLATES.items()))
+    words = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+    bigrams = "list_distinct([words[i] || ' ' || words[i + 1] for i in range(1, len(words))])"
+    return rf"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS s,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+filled AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM lines WHERE NOT regexp_full_match(s, '[\x09-\x0D\x20]*')),
+parts AS (SELECT doc_id, 0 AS kind, i AS a, i AS b, s FROM filled UNION ALL
+          SELECT doc_id, 1, min(i), max(i), string_agg(s, chr(10) ORDER BY i) FROM filled GROUP BY doc_id, run HAVING count(*) > 1 UNION ALL
+          SELECT doc_id, 2, min(i), max(i), string_agg(s, chr(10) ORDER BY i) FROM filled GROUP BY doc_id HAVING count(DISTINCT run) > 1),
+part_words AS (SELECT doc_id, kind, a, b, {words.format("s")} AS words FROM parts),
+own AS (SELECT doc_id, kind, a, b, {bigrams} AS grams FROM part_words),
+template_words AS (SELECT licence, {words.format("s")} AS words FROM (VALUES {rows}) t(licence, s)),
+templates AS (SELECT licence, {bigrams} AS grams FROM template_words),
+compared AS (SELECT doc_id, kind, a, b, licence, 2 * len(list_intersect(own.grams, t.grams)) / (len(own.grams) + len(t.grams)) AS dice
+             FROM own JOIN templates t ON list_has_any(own.grams, t.grams)),
+near AS (SELECT * FROM compared WHERE dice >= {dice} QUALIFY row_number() OVER (PARTITION BY doc_id, kind, a, b ORDER BY dice DESC, licence) = 1),
+shown AS (SELECT * FROM near n WHERE NOT EXISTS (SELECT 1 FROM near m WHERE m.doc_id = n.doc_id AND m.kind < n.kind AND m.a >= n.a AND m.b <= n.b
+                                                 AND m.licence = n.licence AND m.dice >= n.dice)),
+summed AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+                  max(struct_pack(dice := dice, licence := licence)) AS best FROM shown GROUP BY doc_id)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licences, '') AS licences, best.licence AS best_licence, best.dice AS best_dice
+FROM documents LEFT JOIN summed USING (doc_id)
+"""
+
+
 def mix_sql(table: str = "documents", columns: str = "doc_id, source", *, temper: float = 0.5, seed: str = "mix") -> str:
     """SQL for the rows of ``mix`` without weights, as many as the table has."""
     def u(*parts: str) -> str:
@@ -91,5 +121,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_embedding_duplicates": EMBEDDING_DUPLICATES,
     "op3_near_duplicates": NEAR_DUPLICATES,
     "op5_decontaminate": DECONTAMINATE,
+    "op7_licenses": licences_sql(),
     "op6_mix_sources": mix_sql("documents", "doc_id, text, lang, source, n_chars"),
 }
