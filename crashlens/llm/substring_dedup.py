@@ -36,7 +36,7 @@ from crashlens.llm.counters import summed_counters
 from crashlens.llm.words import WHITE_SPACE, U64, Words, raw_bytes, slices, split_words, windows
 
 GROUP = 1 << 18  # suffixes of a group
-HELD = 1 << 21  # suffixes a task merges at once
+HELD = 1 << 20  # suffixes a task merges at once
 FIRST_BITS, NEXT_BITS = 12, 8  # a prefix is told by bits of its words' hashes
 BLOCK = 1 << 20  # words of the documents that get their repeats together
 

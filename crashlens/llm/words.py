@@ -19,7 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 18
 U64 = np.uint64
 
 
