@@ -10,6 +10,7 @@ import pytest
 
 from crashlens.llm import embedding_dedup, minhash_dedup, substring_dedup
 from crashlens.llm.graph import components
+from llm_common import docs_of, workers_path  # noqa: F401
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 

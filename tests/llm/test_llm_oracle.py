@@ -4,6 +4,7 @@ import pytest
 
 from conftest import SF001
 from crashlens.llm import queries
+from llm_common import workers_path  # noqa: F401
 from oracle_check import compare, duck
 
 SQL = queries.oracle_sql()

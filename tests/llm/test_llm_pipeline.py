@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 from crashlens.llm import queries
 from crashlens.llm.tables import written
+from llm_common import workers_path  # noqa: F401
 from test_llm_dedup import brute_repeats, corpus, groups, lower, sentence, words_of
 from test_llm_text import alnum, brute_hits, junk
 

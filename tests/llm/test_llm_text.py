@@ -13,6 +13,7 @@ from crashlens.llm import html_text, language_id, licenses, quality, token_count
 from crashlens.llm.decontaminate import contamination, occurrences
 from crashlens.llm.mixing import mix, source_rates
 from crashlens.llm.queries import PATTERN, VOCABULARY
+from llm_common import docs_of, workers_path  # noqa: F401
 from test_llm_dedup import lower, sentence
 
 ALNUM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
