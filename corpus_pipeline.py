@@ -19,12 +19,6 @@ from crashlens.llm.substring_dedup import remove_repeats
 from crashlens.llm.tables import written
 
 
-def _rows(docs: DataFrame, verdicts: DataFrame, keep) -> DataFrame:
-    """The documents whose row in ``verdicts`` says ``keep``; rows with a null id have no verdict and stay."""
-    out = verdicts.where(~keep & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality classifier rejects; it learns from labelled rows of these documents."""
     columns = docs.columns
@@ -33,8 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of each group of near-duplicates."""
-    return _rows(docs, near_duplicates(docs, percent=80), F.col("kept"))
+    """Keeps one document, the one with the smallest id, of each group of near-duplicates; rows without an id stay."""
+    out = near_duplicates(docs, percent=80).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +43,10 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold passages of the benchmark."""
     found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _rows(docs, found, ~F.col("contaminated"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), "_hash").distinct()
+    # By id and text: rows that share an id, or have none, are judged each by its own text.
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
