@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crashlens.llm.counters import flagged
 from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix
@@ -27,9 +28,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one with the smallest id, of each group of near-duplicates; rows without an id stay."""
-    out = near_duplicates(docs, percent=80).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near-duplicates: of the smallest id (rows without one come last), then text hash.
+
+    Texts without words are in no group; their rows stay.
+    """
+    # By id and text: rows that share an id, or have none, are grouped each by its own text.
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = near_duplicates(docs.select(row.alias("row"), "text"), key="row", percent=80).where("n_shingles > 0")
+    found = found.groupBy("row").agg(F.min("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
+    found = written(found.select(F.col("row.id").alias("_id"), F.col("row.hash").alias("_hash"), "kept"), "near-rows")
+    own = F.xxhash64(docs["text"])
+    out = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (own == found["_hash"]), "left_anti")
+    repeated = found.where("kept").select("_id", "_hash")
+    if repeated.isEmpty():
+        return out
+    # Equal rows collapse before they are joined, so that many copies of one row do not meet in one task.
+    some = flagged(docs.withColumn("_own", own), "_own", repeated, "_hash").dropDuplicates(["doc_id", "_own"])
+    once = some.join(repeated, some["doc_id"].eqNullSafe(repeated["_id"]) & (some["_own"] == repeated["_hash"]), "left_semi")
+    return out.unionByName(once.select(*docs.columns))
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crashlens.llm.words import U64, shrink
+
 _SLICES = 64
 
 
@@ -64,3 +66,15 @@ def hash_flags(df: DataFrame, column: str, bits: int) -> np.ndarray:
         values = np.flatnonzero(flags) + (row["bucket"] - 1) * len(flags) + 1 if row["bucket"] else np.zeros(1, dtype=np.int64)
         out[values[values < len(out)]] = True
     return out
+
+
+def flagged(df: DataFrame, column: str, wanted: DataFrame, hashes: str, bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose 64-bit hash in ``column`` may be among ``hashes`` of ``wanted``: all that are, few others."""
+    flags = np.packbits(hash_flags(wanted, hashes, bits), bitorder="little")
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = shrink(batch.column(column).to_numpy().view(U64), bits)
+            yield batch.filter(pa.array((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+
+    return df.mapInArrow(chosen, df.schema)

@@ -64,6 +64,24 @@ def test_stages_against_brute_force(spark, tmp_out):
         docs, before = out, after
 
 
+def test_near_duplicate_keeps_one_row_of_a_group(spark, tmp_out):
+    rng = random.Random(31)
+    a, b, c, d, e = (sentence(rng, 80, 10**5) for _ in range(5))
+    near = lambda t: f"{t} more"
+    rows = [(1, a)] * 40 + [(1, a.upper()), (2, near(a)), (None, a), (None, near(near(a)))]  # a hot row, copies with and without an id
+    rows += [(3, b), (4, near(b)), (4, c)]  # one text of id 4 is a near copy of id 3, the other is alone
+    rows += [(None, d)] * 3 + [(None, e), (7, near(e)), (7, near(e))]
+    rows += [(8, None), (8, None), (None, ""), (9, " ")]
+    full = [(i, t, "en", f"s{k % 3}", len(t) if t is not None else None) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    docs = written(docs, "test-near")
+    got = corpus_pipeline.near_duplicate(spark, docs, tmp_out)
+    assert got.columns == docs.columns
+    found = [(r.doc_id, lower(r.text) if r.text is not None else None) for r in got.collect()]
+    want = [(1, a), (3, b), (4, c), (None, d), (7, near(e)), (8, None), (8, None), (None, ""), (9, " ")]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+
+
 def test_run_gives_the_rows_of_the_stages(spark, tmp_out):
     small_tables(spark, tmp_out)
     rows = corpus_pipeline.run(spark, tmp_out)
