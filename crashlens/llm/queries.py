@@ -81,14 +81,15 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after its personal data are redacted, from trees kept over the edits."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    how = {"path": VOCABULARY, "pattern": PATTERN}
+    # A struct is never null, so that rows without an id are matched by their text.
+    docs = _table(spark, sf_dir, "documents").select(F.struct("doc_id").alias("row"), "text")
+    how = {"path": VOCABULARY, "pattern": PATTERN, "key": "row"}
     trees = written(token_counts.build(docs, **how), "token-trees")
-    edits = written(token_counts.redactions(docs), "token-edits")
+    edits = written(token_counts.redactions(docs, key="row"), "token-edits")
     new = written(token_counts.update(docs, trees, edits, **how).drop("text", "chars", "tokens"), "token-updates")
-    new = new.select("doc_id", "hash", F.col("n_tokens").alias("n_new"), "n_edits", "n_encoded")
-    return trees.join(new, ["doc_id", "hash"], "left").select(
-        "doc_id", "n_tokens", F.coalesce("n_new", "n_tokens").alias("n_tokens_edited"),
+    new = new.select("row", "hash", F.col("n_tokens").alias("n_new"), "n_edits", "n_encoded")
+    return trees.join(new, ["row", "hash"], "left").select(
+        "row.doc_id", "n_tokens", F.coalesce("n_new", "n_tokens").alias("n_tokens_edited"),
         F.coalesce("n_edits", F.lit(0)).alias("n_edits"), F.coalesce("n_encoded", F.lit(0)).alias("n_encoded"),
     )
 

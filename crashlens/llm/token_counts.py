@@ -27,11 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.llm.counters import hash_flags
-from crashlens.llm.words import U64, shrink, slices
+from crashlens.llm.counters import flagged
+from crashlens.llm.words import slices
 
 SEGMENT = 512  # characters
-FLAG_BITS = 23  # logarithm of the flags that tell which documents have edits
 GROWN = 16  # a tree is built anew if a region outgrows this many segments
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -159,25 +158,21 @@ def build(docs: DataFrame, *, path: str, pattern: str, key: str = "doc_id", text
 
 
 def update(docs: DataFrame, trees: DataFrame, edits: DataFrame, *, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents that have edits, edited: ``(key, hash, text, n_tokens, chars, tokens, n_edits, n_encoded)``.
+    """Documents that have edits, edited: ``(key, hash, text, n_tokens, chars, tokens, n_edits, n_encoded)``, one row for each key and text.
 
     ``edits`` has ``key``, ``hash`` (that of the text it is for) and ``edits``, an array of
     ``(at, removed, inserted)`` structs in the order to apply: character
     positions in the text as the edits before left it; positions beyond the end
     mean the end. ``n_encoded`` is the number of characters encoded again. Rows of
-    ``edits`` without a document, or with an empty array, are left out.
+    ``edits`` without a document, or with an empty array, are left out; so are rows
+    whose key is null (a struct of a null is a key like others).
     """
     source = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text")).where("text is not null")
     todo = edits.where(F.size("edits") > 0).select(F.col(key).alias("_key"), F.col("hash").alias("_hash"), "edits").dropDuplicates(["_key", "_hash"])
-    flags = np.packbits(hash_flags(todo, "_hash", FLAG_BITS), bitorder="little")
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = shrink(batch.column("_hash").to_numpy().view(U64), FLAG_BITS)
-            yield batch.filter(pa.array((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
-
-    source = source.mapInArrow(chosen, source.schema)  # a text without edits is not sent
-    known = trees.select(F.col(key).alias("_key"), F.col("hash").alias("_hash"), "chars", "tokens").join(todo, ["_key", "_hash"]).dropDuplicates(["_key", "_hash"])
+    # Equal rows collapse before the joins; a text without edits is not sent.
+    source = flagged(source, "_hash", todo, "_hash").dropDuplicates(["_key", "_hash"])
+    known = flagged(trees.select(F.col(key).alias("_key"), F.col("hash").alias("_hash"), "chars", "tokens"), "_hash", todo, "_hash")
+    known = known.dropDuplicates(["_key", "_hash"]).join(todo, ["_key", "_hash"])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = tokenizer(path, pattern)

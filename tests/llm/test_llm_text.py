@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from crashlens.llm import html_text, language_id, licenses, quality, token_counts
+from crashlens.llm import html_text, language_id, licenses, quality, queries, token_counts
 from crashlens.llm.decontaminate import contamination, occurrences
 from crashlens.llm.mixing import mix, source_rates
 from crashlens.llm.queries import PATTERN, VOCABULARY
@@ -288,6 +288,22 @@ def test_token_tables(docs_of):
     assert token_counts.update(empty, token_counts.build(empty, **HOW), token_counts.redactions(empty), **HOW).collect() == []
 
 
+def test_token_query_has_one_row_for_each_document_row(docs_of, tmp_out):
+    rows = [(1, "mail a@b.example.com now")] * 5 + [(1, "other 1.2.3.4"), (1, "plain"), (2, None), (None, "x 10.20.30.40 y"), (None, "x 10.20.30.40 y"), (None, "z c@d.example.com"), (None, None)]
+    docs_of(rows).repartition(4).write.parquet(f"{tmp_out}/documents.parquet")
+    got = queries.op9_token_counts(docs_of(rows).sparkSession, tmp_out)
+    assert got.columns == ["doc_id", "n_tokens", "n_tokens_edited", "n_edits", "n_encoded"]
+    count = token_counts.tokenizer(VOCABULARY, PATTERN)
+    want = []
+    for i, text in rows:
+        new, n = text or "", 0
+        for mark, pattern in token_counts.PERSONAL.items():
+            new, k = re.subn(pattern, mark, new)
+            n += k
+        want.append((i, *count([text or "", new]), n, n > 0))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_tokens, r.n_tokens_edited, r.n_edits, r.n_encoded > 0)) for r in got.collect())
+
+
 # --- page text
 
 
