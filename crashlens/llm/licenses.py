@@ -6,7 +6,11 @@ lines, and the whole text if it has several paragraphs. A part and a template
 with a and b distinct bigrams have at best ``2 min(a, b) / (a + b)`` in common,
 so only templates whose size lies within bounds around the part's are
 compared; a part that shares no bigram with any template is not looked at
-again. One pass over the documents, no shuffle; the templates are a parameter.
+again. A notice that shares its line or block with other words, or whose lines
+stand behind comment signs, is found by windows: runs of as many words as a
+template has, wherever in the text so many of the template's bigrams lie that
+the coefficient can be reached. One pass over the documents, no shuffle; the
+templates are a parameter.
 """
 
 from __future__ import annotations
@@ -78,25 +82,58 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
     A match is ``(licence, dice, kind, start, end)`` with the template nearest to the
     part (the first by name of equals), if its coefficient is at least ``dice``;
     ``start`` and ``end`` are bytes of the text's UTF-8 form. A part is left out if a
-    smaller part of it matches the same template as well. Null and empty texts,
-    and texts with fewer than two words, match nothing.
+    smaller part of it matches the same template as well. Windows (kind ``window``)
+    take only template bigrams that no matching part or larger window has taken.
+    Null and empty texts, and texts with fewer than two words, match nothing.
     """
     names = sorted(templates)
-    sets = [np.unique(x) for x in _bigrams([templates[n] for n in names])]
+    own = _bigrams([templates[n] for n in names])
+    lengths = [len(x) for x in own]
+    sets = [np.unique(x) for x in own]
     sizes = np.array([len(s) for s in sets])
     known = np.unique(np.concatenate([np.zeros(0, dtype=U64), *sets]))
+    holds = [np.isin(known, s) for s in sets]
+    least = [max(1, int(np.ceil(dice * n / (2 - dice) - 1e-9))) for n in sizes.tolist()]  # common bigrams that a match has
     kept = docs.drop("matches")
     columns = kept.columns
 
-    def nearest(own: np.ndarray) -> tuple[float, str] | None:
+    def nearest(own: np.ndarray) -> tuple[float, int] | None:
         own, best = np.unique(own), None
         fits = np.flatnonzero(2 * np.minimum(sizes, len(own)) >= dice * (sizes + len(own)))  # size bounds
         for i in fits.tolist():
             value = 2 * len(np.intersect1d(own, sets[i], assume_unique=True)) / (len(own) + len(sets[i]))
             if value >= dice and (best is None or value > best[0]):
-                best = value, names[i]
+                best = value, i
         return best
 
+    def windowed(hashes: np.ndarray, text_of: np.ndarray, free: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
+        """``(template, dice, first bigram, end)`` of windows that match by bigrams that are ``free``; these are taken."""
+        at = np.flatnonzero(free)
+        which, tried = np.searchsorted(known, hashes[at]), []
+        for t, n in enumerate(lengths):
+            if not n:
+                continue
+            place = at[holds[t][which]]
+            last = place[least[t] - 1 :]
+            first = place[: len(last)]
+            close = (last - first < n) & (text_of[first] == text_of[last])
+            starts = set()
+            for a, b in zip(first[close].tolist(), last[close].tolist()):
+                low, high = np.searchsorted(text_of, (text_of[a], text_of[a] + 1)).tolist()
+                begin = max(low, b - n + 1)
+                starts.update((x, min(high, x + n)) for x in range(begin, max(begin, min(a, high - n)) + 1))
+            for a, b in starts:
+                own = np.unique(hashes[a:b])
+                both = len(np.intersect1d(own, sets[t], assume_unique=True))
+                value = 2 * both / (len(own) + len(sets[t]))
+                if value >= dice:
+                    tried.append((-both, -value, t, a, b))
+        for _, value, t, a, b in sorted(tried):
+            mine = free[a:b] & np.isin(hashes[a:b], sets[t])
+            if mine.sum() >= least[t]:
+                free[a:b] &= ~mine
+                yield t, -value, a, b
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
@@ -104,6 +141,7 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
                 words = split_words(data, offsets, NOT_ALNUM, lower=True)
                 at, hashes = windows(words, 2)
                 hit = np.isin(hashes, known)
+                free = hit.copy()
                 rows: list[list[dict]] = [[] for _ in range(part.num_rows)]
                 for i in np.unique(words.text[at[hit]]).tolist():
                     raw = data[offsets[i] : offsets[i + 1]].tobytes()
@@ -111,8 +149,16 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
                         low, high = np.searchsorted(words.start, (offsets[i] + start, offsets[i] + end))
                         a, b = np.searchsorted(at, (low, high - 1))  # bigrams of which both words lie in the part
                         found = nearest(hashes[a:b]) if hit[a:b].any() else None
-                        if found and not any(start <= m["start"] and m["end"] <= end and m["licence"] == found[1] and m["dice"] >= found[0] for m in rows[i]):
-                            rows[i].append({"licence": found[1], "dice": found[0], "kind": kind, "start": start, "end": end})
+                        if not found:
+                            continue
+                        value, name = found[0], names[found[1]]
+                        free[a:b] &= ~np.isin(hashes[a:b], sets[found[1]])
+                        if not any(start <= m["start"] and m["end"] <= end and m["licence"] == name and m["dice"] >= value for m in rows[i]):
+                            rows[i].append({"licence": name, "dice": value, "kind": kind, "start": start, "end": end})
+                for t, value, a, b in windowed(hashes, words.text[at], free):
+                    i = words.text[at[a]]
+                    start, end = int(words.start[at[a]] - offsets[i]), int(words.end[at[b - 1] + 1] - offsets[i])
+                    rows[i].append({"licence": names[t], "dice": value, "kind": "window", "start": start, "end": end})
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(rows, _MATCHES)], [*columns, "matches"])
 
     match = T.StructType().add("licence", T.StringType()).add("dice", T.DoubleType()).add("kind", T.StringType()).add("start", T.IntegerType()).add("end", T.IntegerType())

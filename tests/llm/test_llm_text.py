@@ -243,6 +243,29 @@ def test_licences_are_those_of_brute_force(docs_of):
     assert got[0]["class"] == "x"
 
 
+def test_licences_inside_lines_and_comments(docs_of):
+    rng = random.Random(9)
+    full = licenses.TEMPLATES
+    gpl = full["GPL-3.0-or-later notice"].split()
+    header = "\n".join([" * x.c: " + sentence(rng, 6), " *", *(" * " + " ".join(gpl[a : a + 9]) for a in range(0, len(gpl), 9)), " *", " * " + sentence(rng, 60), " */", sentence(rng, 30)])
+    rows = [
+        (1, "This software is released under the MIT License, see the LICENSE file.", ["MIT"]),
+        (2, "Copyright 2021 Example Authors. Licensed under the Apache License, Version 2.0. See the LICENSE file.", ["Apache-2.0"]),
+        (3, f"{sentence(rng, 300)} {full['MIT text']} {sentence(rng, 400)} {full['Apache-2.0 notice']} {sentence(rng, 9)}", ["Apache-2.0 notice", "MIT text"]),
+        (4, header, ["GPL-3.0-or-later notice"]),
+        (5, header.replace(" * ", " # ").replace(" *", " #"), ["GPL-3.0-or-later notice"]),
+        (6, f"{sentence(rng, 40)} {full['CC-BY-SA-4.0']} {sentence(rng, 40)}\n{full['ISC']}", ["CC-BY-SA-4.0", "ISC"]),
+        (7, f"{sentence(rng, 40)} released under licence of the MIT", []),
+        (8, " ".join(["we are released under the MIT License"] * 3), ["MIT"] * 3),
+        (9, f"{sentence(rng, 5)} released under", []), (10, f"the MIT License {sentence(rng, 5)}", []),
+    ]
+    got = {r.doc_id: r.matches for r in licenses.scan(docs_of([r[:2] for r in rows])).collect()}
+    for i, text, want in rows:
+        assert sorted(m.licence for m in got[i]) == want, i
+        for m in got[i]:
+            assert m.dice == 1 and alnum(text.encode()[m.start : m.end].decode()) == alnum(full[m.licence])
+
+
 # --- token counts
 
 HOW = {"path": VOCABULARY, "pattern": PATTERN}
