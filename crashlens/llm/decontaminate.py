@@ -62,7 +62,7 @@ def item_windows(items: DataFrame, item: str, text: str, window: int, shingle: i
                 out |= {c: pa.array(rows[c], pa.int32()) for c in ("words", "size", "offset")} | {"token": pa.array(rows["token"], pa.int64())}
                 yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
-    source = items.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
+    source = items.where(F.col(text).isNotNull()).select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
     return source.mapInArrow(make, "item string, window string, words int, size int, offset int, token long")
 
 
@@ -126,8 +126,9 @@ def occurrences(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text:
     some item occurs, ``items`` the ids (as strings, sorted) of those items.
     ``_hash`` is a hash of the text, so that rows that share an id are judged
     each by its own text; equal rows give equal results. Null, empty or
-    wordless texts have no words and no spans. Items without an id, text or
-    words take no part. Other columns are not read.
+    wordless texts have no words and no spans. Items without a text or words take
+    no part; those without an id have spans, but nothing in ``items``. Other
+    columns are not read.
     """
     source = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
     tokens = written(item_windows(items, item, item_text, window, shingle), "item-windows")

@@ -105,6 +105,14 @@ def test_contamination_is_that_of_brute_force(spark, docs_of):
     assert sum(r.contaminated for r in got) > 15
 
 
+def test_items_without_an_id_contaminate(spark, docs_of):
+    rng = random.Random(3)
+    a, b = sentence(rng, 15, 5000), sentence(rng, 20, 5000)
+    bench = spark.createDataFrame([(None, a), (7, b), (None, b)], "item_id long, text string")
+    got = contamination(docs_of([(1, f"x {a} y"), (2, f"x {b}"), (3, "clean")]), bench).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in got] == [(17, 15, [], True), (21, 20, ["7"], True), (1, 0, [], False)]
+
+
 def test_contamination_without_items_or_documents(spark, docs_of):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit, r.contaminated) for r in contamination(docs_of([(1, "a b"), (2, None)]), bench).orderBy("doc_id").collect()] == [(2, 0, False), (0, 0, False)]
