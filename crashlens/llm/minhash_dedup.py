@@ -99,20 +99,29 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
 
 
 def _postings(docs: DataFrame, length: int, percent: int, classes: np.ndarray) -> DataFrame:
-    """``(value, class, n, place)``: every retained value of every set, with its place in the set's order."""
+    """``(value, class, n, place)``: every retained value of every set, with its place in the set's order.
+
+    A task sends a class once, however many copies of it the task has.
+    """
     classes = classes.astype(np.uint8)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
                 text, hashes = _sets(part.column("text"), length)
                 sizes, ids = _set_ids(text, hashes, part.num_rows)
+                new = np.zeros(part.num_rows, dtype=bool)
+                for i, own in enumerate(ids.tolist()):
+                    if own not in seen:
+                        seen.add(own)
+                        new[i] = True
                 rank = classes[shrink(hashes, COUNTER_BITS)]
                 if rank.any():  # frequent shingles go behind all others
                     order = np.argsort(text * 256 + rank, kind="stable")
                     text, hashes = text[order], hashes[order]
                 place = np.arange(len(text)) - _first_of(text)
-                keep = place < (sizes - _least(sizes, percent) + 1)[text]
+                keep = (place < (sizes - _least(sizes, percent) + 1)[text]) & new[text]
                 text = text[keep]
                 yield _batch({"value": _signed(hashes[keep]), "class": ids[text], "n": sizes[text].astype(np.int32), "place": place[keep].astype(np.int32)})
 
@@ -337,7 +346,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, length:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
-    links = written(_judged(pairs, sets, "shingles", similar), f"links-{name}")
+    # One row a class: copies of it pass the flags too, and would meet in the join copy by copy.
+    links = written(_judged(pairs, sets.dropDuplicates(["class"]), "shingles", similar), f"links-{name}")
     remove(sets)
     return links
 

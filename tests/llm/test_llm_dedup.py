@@ -212,3 +212,24 @@ def test_embeddings_without_labels(spark):
     df = spark.createDataFrame([(2, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (5, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = embedding_dedup.near_duplicates(df, label=None).collect()
     assert sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in got) == [(0, 2, 1, False), (1, 2, 1, True), (2, 2, 1, False), (5, 0, 5, True)]
+
+
+def test_copies_of_a_class_meet_once(spark, docs_of, monkeypatch):
+    """A class has one posting of a value from a task, and one set in the join of pairs, however many copies it has."""
+    rng = random.Random(41)
+    a = sentence(rng, 100, 10**5)
+    rows = [(5, a)] * 60 + [(6, f"{a} more")] * 60
+    docs, seen = docs_of(rows).coalesce(1), []
+    source = docs.selectExpr("doc_id as _key", "text")
+    postings = minhash_dedup._postings(source, 5, 85, np.zeros(1 << minhash_dedup.COUNTER_BITS, dtype=np.int64))
+    assert postings.groupBy("value", "class").count().where("count > 1").isEmpty()
+    judged = minhash_dedup._judged
+
+    def counted(pairs, values, column, good):
+        seen.append(values.count() - values.select("class").distinct().count())
+        return judged(pairs, values, column, good)
+
+    monkeypatch.setattr(minhash_dedup, "_judged", counted)
+    got = minhash_dedup.near_duplicates(docs, percent=85).collect()
+    assert seen and not any(seen)
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(5, 5, True)] * 60 + [(6, 5, False)] * 60
