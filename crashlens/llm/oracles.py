@@ -116,6 +116,50 @@ SELECT {columns}, CAST(i AS INTEGER) AS copy, {u(f"'{seed}-order'", doc, "CAST(i
 """
 
 
+FILL_MIDDLE = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, x, length(x) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS d FROM t),
+v AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+                  WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+o AS (SELECT *, substr(x, 1, a) AS prefix, substr(x, a + 1, b - a) AS middle, substr(x, b + 1) AS suffix FROM v)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM o
+"""
+
+_CRC_STEP = "CASE WHEN {0} % 2 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+
+IMPORTANCE = rf"""
+WITH RECURSIVE bits AS (SELECT 0 AS k, i, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+                        UNION ALL SELECT k + 1, i, {_CRC_STEP.format("c")} FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM d) GROUP BY word),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM b) GROUP BY word),
+spelled AS (SELECT word, list_transform(range(0, length(hex(word)) // 2), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT)) AS bytes
+            FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+buckets AS (SELECT word, xor(list_reduce(bytes, lambda r, x: xor(r >> 8, t[xor(r, x) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
+            FROM spelled, crc),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM bw JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce((SELECT sum(s) FROM s), 0) AS DOUBLE) AS all_s, CAST(coalesce((SELECT sum(t) FROM t), 0) AS DOUBLE) AS all_t),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (all_s + 10000) / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (all_t + 10000)))) AS BIGINT) AS g
+         FROM s FULL JOIN t USING (bucket), totals),
+gains AS (SELECT word, g FROM buckets JOIN gain USING (bucket)),
+weights AS (SELECT doc_id, CAST(sum(g) AS BIGINT) AS weight FROM (SELECT doc_id, unnest(w) AS word FROM d) JOIN gains USING (word) GROUP BY doc_id),
+scored AS (SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN r <= (SELECT 10 * count(*) // 100 FROM ranked) THEN r END AS BIGINT) AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_remove_repeats": REMOVE_REPEATS,
     "op2_embedding_duplicates": EMBEDDING_DUPLICATES,
@@ -123,4 +167,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontaminate": DECONTAMINATE,
     "op7_licenses": licences_sql(),
     "op6_mix_sources": mix_sql("documents", "doc_id, text, lang, source, n_chars"),
+    "op11_fill_middle": FILL_MIDDLE,
+    "op13_importance": IMPORTANCE,
 }

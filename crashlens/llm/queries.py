@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import embedding_dedup, html_text, language_id, licenses, oracles, token_counts
+from crashlens.llm import embedding_dedup, fill_middle, html_text, importance, language_id, licenses, oracles, token_counts
 from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix
@@ -109,6 +109,22 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_kept")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and put together for fill-in-the-middle training, and put back."""
+    made = fill_middle.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed="1", percent=90, spm=20)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents weighted by how much likelier the benchmark's word distribution is to give them, a tenth of them drawn."""
+    found = importance.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                                  runs=1, buckets=10_000, percent=10, least=20, seed="2024")
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_remove_repeats": op1_remove_repeats,
     "op2_embedding_duplicates": op2_embedding_duplicates,
@@ -120,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
+    "op11_fill_middle": op11_fill_middle,
+    "op13_importance": op13_importance,
 }
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
