@@ -16,7 +16,7 @@ counted on the executors; the driver picks the most frequent.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -190,6 +190,19 @@ class _Ranker:
         return far, real.sum(axis=1), count
 
 
+def nearest(profiles: Profiles) -> Callable[[pa.Array], np.ndarray]:
+    """A function from texts to the number of each one's nearest language; -1 for texts without letters, or if nothing was learned."""
+    if not profiles.languages:
+        return lambda texts: np.full(len(texts), -1)
+    ranker = _Ranker(profiles)
+
+    def find(texts: pa.Array) -> np.ndarray:
+        far, _, count = ranker.distances(texts)
+        return np.where(count > 0, far.argmin(axis=1), -1)
+
+    return find
+
+
 def identify(docs: DataFrame, profiles: Profiles, *, text: str = "text") -> DataFrame:
     """All columns of ``docs``, then ``lang_pred`` and ``score`` (existing columns of these names are replaced).
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import embedding_dedup, fill_middle, html_text, importance, language_id, licenses, oracles, token_counts
+from crashlens.llm import embedding_dedup, fill_middle, html_text, importance, language_id, licenses, oracles, token_counts, toxicity
 from crashlens.llm.decontaminate import contamination
 from crashlens.llm.minhash_dedup import near_duplicates
 from crashlens.llm.mixing import mix
@@ -118,6 +118,14 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by a model trained on labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"), "lang_pred")
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents weighted by how much likelier the benchmark's word distribution is to give them, a tenth of them drawn."""
     found = importance.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
@@ -137,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_html_text": op10_html_text,
     "op11_fill_middle": op11_fill_middle,
+    "op12_toxicity": op12_toxicity,
     "op13_importance": op13_importance,
 }
 
