@@ -32,11 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.llm.counters import summed_counters
-from crashlens.llm.words import WHITE_SPACE, U64, Words, raw_bytes, slices, split_words, windows
+from crashlens.llm.counters import hash_flags, summed_counters
+from crashlens.llm.tables import remove, written
+from crashlens.llm.words import WHITE_SPACE, U64, Words, raw_bytes, shrink, slices, split_words, windows
 
 GROUP = 1 << 18  # suffixes of a group
 HELD = 1 << 20  # suffixes a task merges at once
+FLAG_BITS = 23  # logarithm of the flags that tell which documents have a repeat
+HOT = 256  # an id with one row in so many, and more than SALTED rows, has its rows dealt to several blocks
+SALTED = 64
 FIRST_BITS, NEXT_BITS = 12, 8  # a prefix is told by bits of its words' hashes
 BLOCK = 1 << 20  # words of the documents that get their repeats together
 
@@ -205,6 +209,26 @@ def _without(words: Words, data: bytes, low: int, high: int, gone: np.ndarray) -
     return b"".join(out).decode("utf-8", "replace")
 
 
+def _hit_ids(found: DataFrame) -> DataFrame:
+    """``(id)``: the documents that the rows of repeats name, each once a row."""
+
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("suffixes"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_decode(raw.as_py())[0]))], ["id"])
+
+    return found.mapInArrow(ids, "id long")
+
+
+def _hot_ids(rows: DataFrame, blocks: int) -> tuple[list[int], int]:
+    """Ids that one row in ``HOT`` or more has (``HOT`` ids at most), and how many blocks the rows of the largest would fill."""
+    sizes = written(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), "rows-by-id")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = sizes.where((F.col("n") * HOT >= total) & (F.col("n") > SALTED)).collect()
+    remove(sizes)
+    return [r["_key"] for r in hot], max(1, *(-(-r["n"] * blocks // total) for r in hot), 1)
+
+
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = 13, group: int = GROUP,
                    carry: tuple[str, ...] = ()) -> DataFrame:
     """``(key, text, n_words, n_removed, spans)`` and the ``carry`` columns for every row of ``docs``.
@@ -220,19 +244,30 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     and stay null; rows with a null id neither lose words nor make others lose
     any. Columns not in ``carry`` are not read; one that is called ``n_words``,
     ``n_removed`` or ``spans`` cannot be carried.
+
+    Only rows of documents with a repeat are shuffled with their texts (and the
+    few that share a flag with one); all others pass in a map stage. The rows
+    of an id that very many rows have are dealt to several blocks, each of which
+    gets that id's repeats.
     """
     more = [f"_carried{i}" for i in range(len(carry))]
     source = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text"), *(F.col(c).alias(m) for c, m in zip(carry, more)))
     usable = source.where(F.col("_key").isNotNull() & F.col("text").isNotNull()).select("_key", "text")
     prefixes, _, total = find_prefixes(usable, window, group)
     blocks = 2 * (total // BLOCK // 2) + 7  # odd
-    found = _repeats(_suffixes(usable, prefixes, window, blocks), blocks)
-    # A row that can lose nothing may go to any block.
-    block = F.coalesce(F.pmod("_key", F.lit(blocks)), F.pmod(F.xxhash64("text"), F.lit(blocks))).cast("int")
+    found = written(_repeats(_suffixes(usable, prefixes, window, blocks), blocks), "repeats")
+    flags = np.packbits(hash_flags(_hit_ids(found).select(F.xxhash64("id").alias("h")), "h", FLAG_BITS), bitorder="little")
+    hot, salts = _hot_ids(usable, blocks)
+    keyed = source.withColumn("_flag", F.xxhash64("_key"))
+
+    def chosen(batch: pa.RecordBatch, hit: bool) -> pa.RecordBatch:
+        at = shrink(batch.column("_flag").to_numpy().view(U64), FLAG_BITS)
+        own = ((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) & batch.column("_key").is_valid().to_numpy(zero_copy_only=False)
+        return batch.filter(pa.array(own if hit else ~own))
 
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+    def finish(left: pa.Table, right: pa.Table | None) -> pa.Table:
         ids, hashes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U64)
-        if right.num_rows:
+        if right is not None and right.num_rows:
             ids, hashes = (np.concatenate(x) for x in zip(*(_decode(x.as_py()) for x in right.column("suffixes"))))
             order = np.lexsort((hashes, ids))
             ids, hashes = ids[order], hashes[order]
@@ -269,12 +304,30 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         kinds = {"_key": pa.int64(), "text": pa.string(), "n_words": pa.int64(), "n_removed": pa.int64(), "spans": _SPANS}
         return pa.table({c: pa.array(out[c], kinds[c]) for c in out} | {m: left.column(m) for m in more})
 
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(chosen(batch, False), "text"):
+                counts = _cut(part).counts.astype(np.int64)
+                nothing = pa.ListArray.from_arrays(pa.array(np.zeros(part.num_rows + 1, dtype=np.int32)), pa.array([], _SPANS.value_type))
+                columns = [part.column("_key"), part.column("text"), pa.array(counts), pa.array(np.zeros(part.num_rows, dtype=np.int64)), nothing]
+                yield pa.RecordBatch.from_arrays([*columns, *(part.column(m) for m in more)], ["_key", "text", "n_words", "n_removed", "spans", *more])
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield chosen(batch, True)
+
     span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
     long = T.LongType()
     schema = T.StructType().add("_key", long).add("text", T.StringType()).add("n_words", long).add("n_removed", long).add("spans", T.ArrayType(span))
     for m in more:
         schema = schema.add(source.schema[m])
-    done = source.withColumn("block", block).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(finish, schema)
+    rows = keyed.mapInArrow(hits, keyed.schema)
+    salt = F.when(F.col("_key").isin(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(0)
+    rows = rows.withColumn("block", F.pmod("_key", F.lit(blocks)).cast("int")).withColumn("salt", salt)
+    every = F.when(F.col("block").isin([i % blocks for i in hot]), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeats = found.withColumn("salt", F.explode(every))
+    done = rows.groupBy("block", "salt").cogroup(repeats.groupBy("block", "salt")).applyInArrow(finish, schema)
+    done = done.unionByName(keyed.mapInArrow(clean, schema))
     return done.withColumnsRenamed({"_key": key, "text": text} | dict(zip(more, carry)))
 
 

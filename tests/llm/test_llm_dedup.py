@@ -113,6 +113,21 @@ def test_rows_of_one_id_do_not_remove_each_other(docs_of):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(7, 0), (7, 0), (7, 0), (9, 30), (9, 30)]
 
 
+def test_rows_of_a_hot_id_are_dealt_out(docs_of, monkeypatch):
+    rng = random.Random(13)
+    monkeypatch.setattr(substring_dedup, "BLOCK", 2000)
+    passage = sentence(rng, 20, 10**6)
+    rows = [(50, f"{passage} {sentence(rng, 30, 10**6)}") for _ in range(150)] + [(50, passage)] * 150 + [(3, passage), (51, passage)]
+    rows += [(100 + i, sentence(rng, 40, 10**6)) for i in range(200)] + [(None, passage), (50, None)]
+    docs = docs_of(rows).repartition(5)
+    hot, salts = substring_dedup._hot_ids(docs.where("text is not null").selectExpr("doc_id as _key"), 7)
+    assert hot == [50] and salts > 3
+    got = substring_dedup.remove_repeats(docs).collect()
+    assert len(got) == len(rows)
+    assert all(r.n_removed == (20 if r.doc_id in (50, 51) and r.text is not None else 0) for r in got)
+    assert sum(r.doc_id == 50 and r.n_words == 50 for r in got) == 150
+
+
 def test_empty_tables(docs_of, spark):
     empty = docs_of([(1, "x")]).limit(0)
     assert substring_dedup.remove_repeats(empty).collect() == []
