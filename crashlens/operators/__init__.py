@@ -5,6 +5,7 @@ analysis stays one Catalyst plan.
 """
 
 from crashlens.operators.aggregates import count_distinct_per, count_groups_having, global_count
+from crashlens.operators.distinct import distinct_projection
 from crashlens.operators.joins import (
     having_match,
     join_count,
@@ -26,6 +27,7 @@ __all__ = [
     "count_distinct_per",
     "count_groups_having",
     "dense_rank_all",
+    "distinct_projection",
     "global_count",
     "having_match",
     "in_top_k",

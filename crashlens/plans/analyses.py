@@ -6,7 +6,8 @@ three-valued logic); the plans differ where the original would not scale:
 
 * joins that only feed a count are pre-aggregated per key on both sides
   (``join_count``), so neither fan-out nor a hot crash key reaches one task;
-* ``distinct`` over a joined row is done per side (δ(U ⋈ P) = δU ⋈ δP);
+* ``distinct`` over a joined row is done per side (δ(U ⋈ P) = δU ⋈ δP), and
+  shuffles fingerprints and the needed columns (``distinct_projection``);
 * the whole-table rank window is replaced by ranking the few best distinct
   values (``rank_band``);
 * top-k sets are joined in the same plan (broadcast semi join of a bounded
@@ -19,13 +20,14 @@ ascending (NULLS LAST), which keeps results stable and checkable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crashlens.functions import any_of, first_int, is_true, not_in
 from crashlens.operators import (
     best_k,
     count_groups_having,
+    distinct_projection,
     global_count,
     having_match,
     in_top_k,
@@ -133,10 +135,15 @@ def a06_makes_injury_rank_3_5(t: CrashTables, lo: int = 3, hi: int = 5) -> DataF
     return banded.distinct().select("VEH_MAKE_ID")
 
 
+def _distinct(rows: DataFrame, staged: DataFrame | None, condition: Column, keep: list[str | Column]) -> DataFrame:
+    """``keep`` of the distinct whole rows that meet ``condition`` (which depends on the row only)."""
+    return staged.filter(condition).select(*keep) if staged is not None else distinct_projection(rows.filter(condition), keep)
+
+
 def a07_ethnicity_per_body(t: CrashTables) -> DataFrame:
     """Most frequent ethnicity per body style over distinct (vehicle ⋈ person) rows."""
-    units = t.distinct_units().filter(not_in("VEH_BODY_STYL_ID", BAD_BODY_STYLES))
-    people = t.distinct_person().filter(not_in("PRSN_ETHNICITY_ID", BAD_ETHNICITIES))
+    units = _distinct(t.units, t.units_rows, not_in("VEH_BODY_STYL_ID", BAD_BODY_STYLES), [*VEHICLE, "VEH_BODY_STYL_ID"])
+    people = _distinct(t.person, t.person_rows, not_in("PRSN_ETHNICITY_ID", BAD_ETHNICITIES), [*VEHICLE, "PRSN_ETHNICITY_ID"])
     counts = join_count(units, people, VEHICLE, ["VEH_BODY_STYL_ID"], ["PRSN_ETHNICITY_ID"], name="count")
     best = top_per_group(counts, "VEH_BODY_STYL_ID",
                          [F.col("count").desc(), F.col("PRSN_ETHNICITY_ID").asc_nulls_last()])
@@ -152,10 +159,16 @@ def _alcohol_flags(t: CrashTables) -> tuple[DataFrame, DataFrame]:
     # Only vehicles with a sign on either side can count: keys from narrow scans,
     # semi-joined below the wide distincts (both depend on the row only).
     keys = t.units.filter(unit_flag).select(*VEHICLE).unionByName(with_zip.filter(person_flag).select(*VEHICLE))
-    units = t.units_rows if t.units_rows is not None else having_match(t.units, keys, VEHICLE).distinct()
-    people = t.person_rows if t.person_rows is not None else having_match(with_zip, keys, VEHICLE).distinct()
-    people = people.filter(F.col("DRVR_ZIP").isNotNull())
-    return units.select(*VEHICLE, unit_flag.alias("_u_alc")), people.select(*VEHICLE, "DRVR_ZIP", person_flag.alias("_p_alc"))
+    units_kept, people_kept = [*VEHICLE, unit_flag.alias("_u_alc")], [*VEHICLE, "DRVR_ZIP", person_flag.alias("_p_alc")]
+    if t.units_rows is not None:
+        units = t.units_rows.select(*units_kept)
+    else:
+        units = distinct_projection(having_match(t.units, keys, VEHICLE), units_kept)
+    if t.person_rows is not None:
+        people = t.person_rows.filter(F.col("DRVR_ZIP").isNotNull()).select(*people_kept)
+    else:
+        people = distinct_projection(having_match(with_zip, keys, VEHICLE), people_kept)
+    return units, people
 
 
 def a08_zips_alcohol(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
@@ -213,6 +226,6 @@ def a10_speeding_makes_top_colour_state(t: CrashTables, k: int = 5, with_counts:
     people = t.person if t.person_rows is None else t.person_rows
     # The semi join depends on the row only, so it may go below the wide distinct.
     licensed = having_match(people.filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES)), speeding, VEHICLE)
-    licensed = licensed.distinct() if t.person_rows is None else licensed
+    licensed = distinct_projection(licensed, VEHICLE) if t.person_rows is None else licensed
     counts = join_count(licensed, speeding, VEHICLE, by_right=["VEH_MAKE_ID"])
     return best_k(counts, "n", "VEH_MAKE_ID", k, keep_measure=with_counts)

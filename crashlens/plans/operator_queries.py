@@ -15,6 +15,7 @@ from crashlens.operators import (
     count_distinct_per,
     count_groups_having,
     dense_rank_all,
+    distinct_projection,
     global_count,
     having_match,
     in_top_k,
@@ -202,6 +203,12 @@ def op_distinct_keys(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
 
 
+def op_distinct_projection(spark, sf_dir):
+    """Body styles of the distinct whole vehicle rows, counted; the rows are told apart by fingerprints."""
+    units = load_fixture(spark, sf_dir).units
+    return distinct_projection(units, ["VEH_BODY_STYL_ID"]).groupBy("VEH_BODY_STYL_ID").agg(F.count(F.lit(1)).alias("n"))
+
+
 def op_dense_rank(spark, sf_dir):
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
     return dense_rank_all(spark, part, "p_size", descending=True, rank_name="rnk")
@@ -313,6 +320,7 @@ OPERATOR_SQL: dict[str, str] = {
     "op_global_count": "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P'",
     "op_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
     "op_distinct_keys": "SELECT DISTINCT l_orderkey FROM lineitem",
+    "op_distinct_projection": "@fixture SELECT VEH_BODY_STYL_ID, count(*) AS n FROM (SELECT DISTINCT * FROM units) u GROUP BY 1",
     "op_dense_rank": "SELECT p_partkey, p_size, CAST(dense_rank() OVER (ORDER BY p_size DESC NULLS LAST) AS INTEGER) "
                      "AS rnk FROM part",
     "op_row_number": "SELECT o_orderpriority, o_orderstatus, n, CAST(row_number() OVER (PARTITION BY o_orderpriority "
