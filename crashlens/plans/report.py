@@ -5,7 +5,9 @@
 tables once as Parquet in the shared folder, together with the distinct
 rows of units and person that four analyses share, runs each analysis on
 its own (one failure does not stop the others), writes table results as
-CSV and returns one status row per analysis, errors included.
+CSV and returns one status row per analysis, errors included. Finished
+analyses are committed beside the output, so a job whose driver was lost
+goes on where it stopped (``commit_log``).
 
 Command line (package shipped with ``--py-files``)::
 
@@ -19,6 +21,7 @@ import argparse
 import os
 import time
 import traceback
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlens.plans import analyses as A
+from crashlens.plans.commit_log import CommitLog
 from crashlens.sources.catalog import CrashTables, read_tables, stage, unstage
 from crashlens.sources.sink import write_csv
 
@@ -47,6 +51,9 @@ TABLE_ANALYSES = {
     "a10_speeding_makes_top_colour_state": (A.a10_speeding_makes_top_colour_state, 1),
 }
 
+# Analyses that work on distinct whole rows.
+NEED_DISTINCT = {"a06_makes_injury_rank_3_5", "a07_ethnicity_per_body", "a08_zips_alcohol", "a10_speeding_makes_top_colour_state"}
+
 STATUS_SCHEMA = T.StructType([
     T.StructField("analysis", T.StringType(), False),
     T.StructField("kind", T.StringType(), False),
@@ -68,30 +75,45 @@ def all_counts(t: CrashTables) -> DataFrame:
     return out
 
 
-def _run_count(name: str, fn, t: CrashTables) -> tuple:
+def _run_count(name: str, fn, t: CrashTables, log: CommitLog) -> tuple:
     start = time.time()
     try:
         n = fn(t).first()["n"]
-        return (name, "count", "success", int(n), str(n), None, time.time() - start, None)
+        row = (name, "count", "success", int(n), str(n), None, time.time() - start, None)
+        log.commit(name, dict(zip(STATUS_SCHEMA.names, row)))
+        return row
     except Exception as err:  # reported as a row, the run goes on
         return (name, "count", "error", None, None, None, time.time() - start, _error_text(err))
 
 
-def _run_table(name: str, fn, files: int | None, t: CrashTables, out_dir: str) -> tuple:
+def _run_table(name: str, fn, files: int | None, t: CrashTables, log: CommitLog) -> tuple:
     start = time.time()
-    path = os.path.join(out_dir, f"{name}.csv")
+    path = _output(log.folder, name)
     try:
-        n = write_csv(fn(t), path, files=files)
-        return (name, "table", "success", n, None, path, time.time() - start, None)
+        n = log.write(name, path, lambda folder: write_csv(fn(t), folder, files=files))
+        row = (name, "table", "success", n, None, path, time.time() - start, None)
+        log.commit(name, dict(zip(STATUS_SCHEMA.names, row)))
+        return row
     except Exception as err:
         return (name, "table", "error", None, None, path, time.time() - start, _error_text(err))
 
 
+def _output(folder: str, name: str) -> str:
+    return os.path.join(folder, f"{name}.csv")
+
+
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
                stage_distinct: bool = True, parallelism: int = 4, retries: int = 1,
-               pool: str | None = None, spread_to: int | None = None) -> DataFrame:
+               pool: str | None = None, spread_to: int | None = None, run_id: str | None = None) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
+    ``run_id`` names the input and its version. A job that finds analyses
+    committed in ``out_dir`` under the same ``run_id`` takes their status from
+    there and runs the rest; failed analyses are not committed. Whatever else
+    an earlier job left (outputs without a commit, attempts, staged tables,
+    commits of other runs) is removed first. Without a ``run_id`` every job
+    starts anew. One job at a time may write to ``out_dir``.
+
     ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
     computed tables); ``stage_distinct`` writes the distinct rows of units
     and person once, shared by A06, A07, A08 and A10. The analyses are
@@ -103,10 +125,14 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     What was staged is deleted at the end, also after a failure.
     """
     given = t
-    if stage_tables or stage_distinct:
-        t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct, spread_to=spread_to)
-    jobs = [partial(_run_count, name, fn, t) for name, fn in COUNT_ANALYSES.items()]
-    jobs += [partial(_run_table, name, fn, files, t, out_dir) for name, (fn, files) in TABLE_ANALYSES.items()]
+    log = CommitLog(spark, out_dir, run_id or uuid.uuid4().hex)
+    done = log.recover({name: _output(log.folder, name) for name in TABLE_ANALYSES})
+    todo = [name for name in (*COUNT_ANALYSES, *TABLE_ANALYSES) if name not in done]
+    if todo and (stage_tables or stage_distinct):
+        t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct and bool(NEED_DISTINCT & set(todo)), spread_to=spread_to,
+                  announce=log.staging)
+    jobs = [partial(_run_count, name, COUNT_ANALYSES[name], t, log) for name in COUNT_ANALYSES if name in todo]
+    jobs += [partial(_run_table, name, *TABLE_ANALYSES[name], t, log) for name in TABLE_ANALYSES if name in todo]
 
     def attempt(job) -> tuple:
         # Jobs carry the analysis name (event log, UI on a cluster) and, if
@@ -127,10 +153,13 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as executor:
-            rows = list(executor.map(attempt, jobs))
+            ran = {row[0]: row for row in executor.map(attempt, jobs)}
     finally:
         if t is not given:
             unstage(spark, t)
+    log.finish()
+    kept = {name: tuple(status[c] for c in STATUS_SCHEMA.names) for name, status in done.items()}
+    rows = [(kept | ran)[name] for name in (*COUNT_ANALYSES, *TABLE_ANALYSES)]
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
@@ -148,13 +177,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--infer-schema", action="store_true")
     parser.add_argument("--spread-to", type=int, default=None, help="partitions to deal staged input rows to")
     parser.add_argument("--parallelism", type=int, default=4, help="analyses submitted at once")
+    parser.add_argument("--run-id", default=None, help="name of the input's version; a job with the same name goes on where the last one stopped")
     parser.add_argument("--pool", default=None, help="FAIR scheduler pool for the analyses' jobs")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("crashlens-report").getOrCreate()
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
                          fmt=args.format, infer=args.infer_schema)
     status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism,
-                        pool=args.pool, spread_to=args.spread_to)
+                        pool=args.pool, spread_to=args.spread_to, run_id=args.run_id)
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))
     status.show(truncate=False)
 

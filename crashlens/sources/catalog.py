@@ -10,6 +10,7 @@ CSV parsing by a columnar scan with filter pushdown and column pruning and
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -106,7 +107,7 @@ def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", in
 
 
 def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_distinct: bool = False,
-          spread_to: int | None = None) -> CrashTables:
+          spread_to: int | None = None, announce: Callable[[str], None] | None = None) -> CrashTables:
     """Write tables once as Parquet in the shared folder; read them back.
 
     ``base`` stages the three input tables: worth it for CSV (parsed once
@@ -116,13 +117,16 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
     CSV); Spark sorts before that, so a retried task rebuilds the same
     partitions. ``with_distinct`` also stages the distinct whole rows of
     ``units`` and ``person``: one all-column shuffle each, instead of one per
-    analysis that deduplicates. :func:`unstage` deletes what was written.
+    analysis that deduplicates. ``announce`` is told each folder before it is
+    written. :func:`unstage` deletes what was written.
     """
     paths: list[str] = list(tables.staged_paths)
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = scratch_path(spark, f"staged-{name.replace('_', '-')}")
         paths.append(path)
+        if announce:
+            announce(path)
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
