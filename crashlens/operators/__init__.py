@@ -7,6 +7,7 @@ analysis stays one Catalyst plan.
 from crashlens.operators.aggregates import count_distinct_per, count_groups_having, global_count
 from crashlens.operators.distinct import distinct_projection
 from crashlens.operators.joins import (
+    counted_join,
     having_match,
     join_count,
     join_renaming,
@@ -20,12 +21,15 @@ from crashlens.operators.ranking import (
     top_per_group,
     top_values_ranked,
 )
+from crashlens.operators.tagged import Tag, rows_of_tag, tagged_aggregates
 from crashlens.operators.topk import best_k, in_top_k, ordered, top_k
 
 __all__ = [
+    "Tag",
     "best_k",
     "count_distinct_per",
     "count_groups_having",
+    "counted_join",
     "dense_rank_all",
     "distinct_projection",
     "global_count",
@@ -38,6 +42,8 @@ __all__ = [
     "ordered",
     "rank_band",
     "rank_band_wide",
+    "rows_of_tag",
+    "tagged_aggregates",
     "top_k",
     "top_per_group",
     "top_values_ranked",

@@ -25,14 +25,17 @@ from pyspark.sql import functions as F
 
 from crashlens.functions import any_of, first_int, is_true, not_in
 from crashlens.operators import (
+    Tag,
     best_k,
     count_groups_having,
+    counted_join,
     distinct_projection,
     global_count,
     having_match,
     in_top_k,
     join_count,
     rank_band,
+    rows_of_tag,
     top_k,
     top_per_group,
 )
@@ -69,27 +72,74 @@ VEHICLE = ["CRASH_ID", "UNIT_NBR"]
 TOTAL = "_harmed"
 
 
-def a01_crashes_male_deaths(t: CrashTables, threshold: int = 2) -> DataFrame:
-    """Crashes whose male persons' ``DEATH_CNT`` sums to more than ``threshold``."""
-    males = t.person.filter(F.col("PRSN_GNDR_ID") == MALE)
-    return count_groups_having(males, ["CRASH_ID"], F.sum("DEATH_CNT"), lambda s: s > threshold)
-
-
-def a02_two_wheelers(t: CrashTables) -> DataFrame:
-    """Vehicle rows (duplicates included) whose body style is exactly MOTORCYCLE."""
-    return global_count(t.units.filter(F.col("VEH_BODY_STYL_ID") == MOTORCYCLE))
+def _males() -> Column:
+    return F.col("PRSN_GNDR_ID") == MALE
 
 
-def _killed_drivers_no_airbag(t: CrashTables) -> DataFrame:
-    return t.person.filter(
+def _killed_drivers_no_airbag() -> Column:
+    return (
         (F.col("PRSN_TYPE_ID") == DRIVER)
         & (F.col("PRSN_AIRBAG_ID") == AIRBAG_NOT_DEPLOYED)
         & ((F.col("PRSN_INJRY_SEV_ID") == KILLED) | (F.col("DEATH_CNT") != 0))
     )
 
 
-def _fatal_units_with_make(t: CrashTables) -> DataFrame:
-    return t.units.filter((F.col("DEATH_CNT") != 0) & (F.col("VEH_MAKE_ID") != MAKE_NA))
+def _licensed() -> Column:
+    return F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES)
+
+
+def _non_female_with_state() -> Column:
+    return (F.col("PRSN_GNDR_ID") != FEMALE) & not_in("DRVR_LIC_STATE_ID", BAD_LICENCE_STATES)
+
+
+def _two_wheelers() -> Column:
+    return F.col("VEH_BODY_STYL_ID") == MOTORCYCLE
+
+
+def _fatal_with_make() -> Column:
+    return (F.col("DEATH_CNT") != 0) & (F.col("VEH_MAKE_ID") != MAKE_NA)
+
+
+def _hit_and_run() -> Column:
+    return F.col("VEH_HNR_FL") == HIT_AND_RUN_YES
+
+
+def _insured_severe() -> Column:
+    return (
+        (not_in("VEH_DMAG_SCL_1_ID", BAD_DAMAGE_SCALES) | not_in("VEH_DMAG_SCL_2_ID", BAD_DAMAGE_SCALES))
+        & F.col("FIN_RESP_TYPE_ID").like(INSURANCE_PATTERN)
+        & ((first_int("VEH_DMAG_SCL_1_ID") > 4) | (first_int("VEH_DMAG_SCL_2_ID") > 4))
+    )
+
+
+def person_tags() -> dict[str, Tag]:
+    """The groups of ``person`` that analyses start from."""
+    return {tag.name: tag for tag in (
+        Tag("a01", _males(), ["CRASH_ID"], "DEATH_CNT"), Tag("a03", _killed_drivers_no_airbag(), ["CRASH_ID"]),
+        Tag("a04", _licensed(), VEHICLE), Tag("a05", _non_female_with_state(), ["DRVR_LIC_STATE_ID"]),
+    )}
+
+
+def units_tags() -> dict[str, Tag]:
+    """The groups of ``units`` that analyses start from."""
+    return {tag.name: tag for tag in (
+        Tag("a02", _two_wheelers()), Tag("a03", _fatal_with_make(), ["CRASH_ID", "VEH_MAKE_ID"]),
+        Tag("a04", _hit_and_run(), VEHICLE), Tag("a09", _insured_severe(), ["CRASH_ID"]),
+    )}
+
+
+def a01_crashes_male_deaths(t: CrashTables, threshold: int = 2) -> DataFrame:
+    """Crashes whose male persons' ``DEATH_CNT`` sums to more than ``threshold``."""
+    if t.tagged:
+        return global_count(rows_of_tag(t.tagged["person"], person_tags()["a01"]).filter(F.col("total") > threshold))
+    return count_groups_having(t.person.filter(_males()), ["CRASH_ID"], F.sum("DEATH_CNT"), lambda s: s > threshold)
+
+
+def a02_two_wheelers(t: CrashTables) -> DataFrame:
+    """Vehicle rows (duplicates included) whose body style is exactly MOTORCYCLE."""
+    if t.tagged:
+        return rows_of_tag(t.tagged["units"], units_tags()["a02"]).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
+    return global_count(t.units.filter(_two_wheelers()))
 
 
 def a03_top_makes_no_airbag(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
@@ -98,24 +148,29 @@ def a03_top_makes_no_airbag(t: CrashTables, k: int = 5, with_counts: bool = Fals
     The original joins on ``CRASH_ID`` only, so every fatal vehicle of such a
     crash counts, once per crash: semi join + distinct (crash, make).
     """
-    makes = _fatal_units_with_make(t).select("CRASH_ID", "VEH_MAKE_ID").distinct()
-    matched = having_match(makes, _killed_drivers_no_airbag(t), ["CRASH_ID"])
-    return top_k(matched, "VEH_MAKE_ID", k, keep_measure=with_counts)
+    if t.tagged:
+        makes = rows_of_tag(t.tagged["units"], units_tags()["a03"]).select("CRASH_ID", "VEH_MAKE_ID")
+        killers = rows_of_tag(t.tagged["person"], person_tags()["a03"])
+    else:
+        makes = t.units.filter(_fatal_with_make()).select("CRASH_ID", "VEH_MAKE_ID").distinct()
+        killers = t.person.filter(_killed_drivers_no_airbag())
+    return top_k(having_match(makes, killers, ["CRASH_ID"]), "VEH_MAKE_ID", k, keep_measure=with_counts)
 
 
 def a04_hit_and_run_licensed(t: CrashTables) -> DataFrame:
     """Rows of (hit-and-run vehicle ⋈ validly licensed person) on the vehicle key."""
-    hit_and_run = t.units.filter(F.col("VEH_HNR_FL") == HIT_AND_RUN_YES)
-    licensed = t.person.filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES))
-    return join_count(hit_and_run, licensed, VEHICLE)
+    if t.tagged:
+        hit_and_run, licensed = rows_of_tag(t.tagged["units"], units_tags()["a04"]), rows_of_tag(t.tagged["person"], person_tags()["a04"])
+        return counted_join(hit_and_run, licensed, VEHICLE, "n", "n")
+    return join_count(t.units.filter(_hit_and_run()), t.person.filter(_licensed()), VEHICLE)
 
 
 def a05_state_non_female(t: CrashTables, k: int = 1, with_counts: bool = False) -> DataFrame:
     """Licence state with the most non-female person rows (NULL gender drops)."""
-    people = t.person.filter(
-        (F.col("PRSN_GNDR_ID") != FEMALE) & not_in("DRVR_LIC_STATE_ID", BAD_LICENCE_STATES)
-    )
-    return top_k(people, "DRVR_LIC_STATE_ID", k, keep_measure=with_counts)
+    if t.tagged:
+        states = rows_of_tag(t.tagged["person"], person_tags()["a05"]).select("DRVR_LIC_STATE_ID", "n")
+        return best_k(states, "n", "DRVR_LIC_STATE_ID", k, keep_measure=with_counts)
+    return top_k(t.person.filter(_non_female_with_state()), "DRVR_LIC_STATE_ID", k, keep_measure=with_counts)
 
 
 def with_total(units: DataFrame) -> DataFrame:
@@ -194,12 +249,9 @@ def a08_zips_alcohol(t: CrashTables, k: int = 5, with_counts: bool = False) -> D
 
 def _insured_severe_crashes(t: CrashTables) -> DataFrame:
     """Distinct crash ids with an insured vehicle of damage level above 4."""
-    u = t.units
-    return u.filter(
-        (not_in("VEH_DMAG_SCL_1_ID", BAD_DAMAGE_SCALES) | not_in("VEH_DMAG_SCL_2_ID", BAD_DAMAGE_SCALES))
-        & F.col("FIN_RESP_TYPE_ID").like(INSURANCE_PATTERN)
-        & ((first_int("VEH_DMAG_SCL_1_ID") > 4) | (first_int("VEH_DMAG_SCL_2_ID") > 4))
-    ).select("CRASH_ID").distinct()
+    if t.tagged:
+        return rows_of_tag(t.tagged["units"], units_tags()["a09"]).select("CRASH_ID")
+    return t.units.filter(_insured_severe()).select("CRASH_ID").distinct()
 
 
 def _no_damage_rows(t: CrashTables) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crashlens.functions import any_of, first_digits, first_int, not_in
 from crashlens.operators import (
+    Tag,
     best_k,
     count_distinct_per,
     count_groups_having,
@@ -26,6 +27,7 @@ from crashlens.operators import (
     ordered,
     rank_band,
     rank_band_wide,
+    tagged_aggregates,
     top_k,
     top_per_group,
 )
@@ -209,6 +211,16 @@ def op_distinct_projection(spark, sf_dir):
     return distinct_projection(units, ["VEH_BODY_STYL_ID"]).groupBy("VEH_BODY_STYL_ID").agg(F.count(F.lit(1)).alias("n"))
 
 
+def op_tagged_aggregates(spark, sf_dir):
+    """Three aggregates of ``lineitem`` from one pass."""
+    tags = [
+        Tag("returned", F.col("l_returnflag") == "R", ["l_suppkey"], "l_linenumber"),
+        Tag("by_flag", F.col("l_linestatus") == "F", ["l_returnflag"]),
+        Tag("late", F.col("l_linenumber") > 5, (), "l_linenumber"),
+    ]
+    return tagged_aggregates(_t(spark, sf_dir, "lineitem"), tags)
+
+
 def op_dense_rank(spark, sf_dir):
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
     return dense_rank_all(spark, part, "p_size", descending=True, rank_name="rnk")
@@ -320,6 +332,11 @@ OPERATOR_SQL: dict[str, str] = {
     "op_global_count": "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P'",
     "op_distinct": "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem",
     "op_distinct_keys": "SELECT DISTINCT l_orderkey FROM lineitem",
+    "op_tagged_aggregates": """
+        SELECT 'returned' AS tag, l_suppkey, NULL::VARCHAR AS l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey
+        UNION ALL SELECT 'by_flag', NULL, l_returnflag, count(*), NULL FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_returnflag
+        UNION ALL SELECT 'late', NULL, NULL, count(*), CAST(sum(l_linenumber) AS BIGINT) FROM lineitem WHERE l_linenumber > 5""",
     "op_distinct_projection": "@fixture SELECT VEH_BODY_STYL_ID, count(*) AS n FROM (SELECT DISTINCT * FROM units) u GROUP BY 1",
     "op_dense_rank": "SELECT p_partkey, p_size, CAST(dense_rank() OVER (ORDER BY p_size DESC NULLS LAST) AS INTEGER) "
                      "AS rnk FROM part",

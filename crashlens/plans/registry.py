@@ -19,6 +19,7 @@ from crashlens.plans import variants as V
 from crashlens.plans.operator_queries import OPERATOR_QUERIES, OPERATOR_SQL
 from crashlens.plans.oracles import ANALYSES_SQL, FIX, VARIANTS_SQL
 from crashlens.plans.report import TABLE_ANALYSES, all_counts, run_report
+from crashlens.plans.shared_scan import share
 from crashlens.session import scratch_path
 from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed, read_tables, stage
 from crashlens.sources.fixture import load_fixture
@@ -107,6 +108,11 @@ def src_staged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.a07_ethnicity_per_body(stage(spark, _fixture(spark, sf_dir), with_distinct=True))
 
 
+def src_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count analyses on groups that one pass over each table made."""
+    return all_counts(share(spark, _fixture(spark, sf_dir)))
+
+
 def report_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch report: what became of each analysis, and how many rows it wrote."""
     status = run_report(spark, _fixture(spark, sf_dir), scratch_path(spark, "report"))
@@ -124,6 +130,7 @@ SOURCE_QUERIES: dict[str, Query] = {
     "sink_csv_null_roundtrip": sink_csv_null_roundtrip,
     "src_named_tables": src_named_tables,
     "src_staged_distinct": src_staged_distinct,
+    "src_shared_scan": src_shared_scan,
     "report_all_counts": report_all_counts,
     "report_status": report_status,
 }
@@ -153,6 +160,7 @@ SOURCE_SQL: dict[str, str] = {
     "sink_csv_null_roundtrip": f"{FIX} SELECT DRVR_ZIP FROM persons",
     "src_named_tables": ANALYSES_SQL["a08_zips_alcohol_counts"],
     "src_staged_distinct": ANALYSES_SQL["a07_ethnicity_per_body"],
+    "src_shared_scan": _report_sql(),
     "report_all_counts": _report_sql(),
     "report_status": _status_sql(),
 }

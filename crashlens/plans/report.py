@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from crashlens.plans import analyses as A
 from crashlens.plans.commit_log import CommitLog
+from crashlens.plans.shared_scan import SHARED, share
 from crashlens.sources.catalog import CrashTables, read_tables, stage, unstage
 from crashlens.sources.sink import write_csv
 
@@ -104,7 +105,8 @@ def _output(folder: str, name: str) -> str:
 
 def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables: bool = True,
                stage_distinct: bool = True, parallelism: int = 4, retries: int = 1,
-               pool: str | None = None, spread_to: int | None = None, run_id: str | None = None) -> DataFrame:
+               pool: str | None = None, spread_to: int | None = None, run_id: str | None = None,
+               shared_scan: bool = True) -> DataFrame:
     """Run all ten analyses; return one status row per analysis.
 
     ``run_id`` names the input and its version. A job that finds analyses
@@ -115,7 +117,8 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     starts anew. One job at a time may write to ``out_dir``.
 
     ``stage_tables`` writes the inputs once as Parquet (for CSV input, or
-    computed tables); ``stage_distinct`` writes the distinct rows of units
+    computed tables); ``shared_scan`` makes the first groups of A01-A05 and A09
+    from one pass per table; ``stage_distinct`` writes the distinct rows of units
     and person once, shared by A06, A07, A08 and A10. The analyses are
     independent Spark jobs; up to ``parallelism`` of them are submitted at
     once from driver threads, so the scheduler can overlap their stages
@@ -131,6 +134,11 @@ def run_report(spark: SparkSession, t: CrashTables, out_dir: str, stage_tables:
     if todo and (stage_tables or stage_distinct):
         t = stage(spark, t, base=stage_tables, with_distinct=stage_distinct and bool(NEED_DISTINCT & set(todo)), spread_to=spread_to,
                   announce=log.staging)
+    if shared_scan and SHARED & set(todo):
+        try:
+            t = share(spark, t, announce=log.staging)
+        except Exception:  # the analyses then scan by themselves, and the one at fault reports it
+            pass
     jobs = [partial(_run_count, name, COUNT_ANALYSES[name], t, log) for name in COUNT_ANALYSES if name in todo]
     jobs += [partial(_run_table, name, *TABLE_ANALYSES[name], t, log) for name in TABLE_ANALYSES if name in todo]
 

@@ -37,7 +37,7 @@ from crashlens.plans.analyses import (
     TWO_WHEELER_STYLES,
     VALID_LICENCES,
     VEHICLE,
-    _fatal_units_with_make,
+    _fatal_with_make,
     _insured_severe_crashes,
     _killed_drivers_no_airbag,
     _no_damage_rows,
@@ -55,8 +55,8 @@ def a02i_two_wheeler_crashes(t: CrashTables) -> DataFrame:
 
 def a03i_top_makes_driver_died(t: CrashTables, k: int = 5) -> DataFrame:
     """Top makes by crashes where the driver killed without airbag sat in *that* vehicle."""
-    units = _fatal_units_with_make(t).select(*VEHICLE, "VEH_MAKE_ID").distinct()
-    matched = having_match(units, _killed_drivers_no_airbag(t), VEHICLE)
+    units = t.units.filter(_fatal_with_make()).select(*VEHICLE, "VEH_MAKE_ID").distinct()
+    matched = having_match(units, t.person.filter(_killed_drivers_no_airbag()), VEHICLE)
     return best_k(count_distinct_per(matched, ["VEH_MAKE_ID"], ["CRASH_ID"]), "n", "VEH_MAKE_ID", k)
 
 

@@ -38,6 +38,7 @@ class CrashTables:
     person_rows: DataFrame | None = None  # distinct whole rows of person, if staged
     units_rows: DataFrame | None = None  # distinct whole rows of units, if staged
     staged_paths: tuple[str, ...] = ()  # folders that `stage` wrote for these tables
+    tagged: dict[str, DataFrame] | None = None  # by table, groups that one pass over it made for several analyses
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"person": self.person, "units": self.units, "damages": self.damages}
@@ -146,7 +147,7 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
         for path in paths[len(tables.staged_paths):]:
             remove_path(spark, path)
         raise
-    return CrashTables(**frames, staged_paths=tuple(paths))
+    return CrashTables(**frames, staged_paths=tuple(paths), tagged=tables.tagged)
 
 
 def unstage(spark: SparkSession, tables: CrashTables) -> None:
