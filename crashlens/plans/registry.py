@@ -12,6 +12,7 @@ from functools import partial
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlens.plans import analyses as A
@@ -22,6 +23,7 @@ from crashlens.plans.report import TABLE_ANALYSES, all_counts, run_report
 from crashlens.plans.shared_scan import share
 from crashlens.session import scratch_path
 from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed, read_tables, stage
+from crashlens.sources.csv_load import load_csv, read_csv_mixed
 from crashlens.sources.fixture import load_fixture
 from crashlens.sources.sink import read_result, write_csv
 
@@ -81,6 +83,32 @@ def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_inferred(spark, path)
 
 
+def src_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` from one folder of CSV files with three headers: all columns, another order, one column less."""
+    path = scratch_path(spark, "part-mixed-csv")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    for i, columns in enumerate((part.columns, part.columns[::-1], [c for c in part.columns if c != "p_size"])):
+        write_csv(part.filter(F.col("p_partkey") % 3 == i).select(*columns), path, files=None, mode="append")
+    return read_csv_mixed(spark, path, PART_TYPES).select(*part.columns)
+
+
+def src_csv_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as CSV text in which some records have a bad number, a field too few or one too many: good rows, and bad ones raw."""
+    path = scratch_path(spark, "part-faulty-csv")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_size")
+    size = F.when(F.col("p_partkey") % 7 == 3, F.lit("many")).otherwise(F.col("p_size").cast("string"))
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name", size)
+    line = F.when(F.col("p_partkey") % 11 == 5, F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name")).otherwise(line)
+    line = F.when(F.col("p_partkey") % 13 == 1, F.concat(line, F.lit(",extra"))).otherwise(line)
+    # A column that is named as the header, without quoting, writes lines as they are.
+    part.select(line.alias(",".join(part.columns))).write.options(header=True, sep="\u0001", quote="").csv(path)
+    load = load_csv(spark, path, PART_TYPES)
+    good = load.rows.select("p_partkey", "p_name", "p_size", F.lit(None).cast("string").alias("raw"))
+    bad = load.rescued.select(F.lit(None).cast("long").alias("p_partkey"), F.lit(None).cast("string").alias("p_name"),
+                              F.lit(None).cast("int").alias("p_size"), F.col("_raw").alias("raw"))
+    return good.unionByName(bad)
+
+
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A07's result (body styles with commas) written as one CSV file and read back."""
     path = scratch_path(spark, "a07-csv")
@@ -126,6 +154,8 @@ def report_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCE_QUERIES: dict[str, Query] = {
     "src_csv_typed": src_csv_typed,
     "src_csv_inferred": src_csv_inferred,
+    "src_csv_mixed_headers": src_csv_mixed_headers,
+    "src_csv_rescued": src_csv_rescued,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_csv_null_roundtrip": sink_csv_null_roundtrip,
     "src_named_tables": src_named_tables,
@@ -156,6 +186,16 @@ def _status_sql() -> str:
 SOURCE_SQL: dict[str, str] = {
     "src_csv_typed": "SELECT * FROM part",
     "src_csv_inferred": "SELECT * FROM nation",
+    "src_csv_mixed_headers": "SELECT * REPLACE (CASE WHEN p_partkey % 3 <> 2 THEN p_size END AS p_size) FROM part",
+    "src_csv_rescued": """
+        WITH t AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_partkey % 7 = 3 THEN 'many' ELSE CAST(p_size AS VARCHAR) END AS size FROM part),
+        l AS (SELECT *, concat_ws(',', p_partkey, p_name, CASE WHEN p_partkey % 11 <> 5 THEN size END) AS line FROM t),
+        m AS (SELECT *, CASE WHEN p_partkey % 13 = 1 THEN line || ',extra' ELSE line END AS raw FROM l)
+        SELECT CASE WHEN good THEN p_partkey END AS p_partkey, CASE WHEN good THEN p_name END AS p_name,
+               CASE WHEN good THEN p_size END AS p_size, CASE WHEN NOT good THEN raw END AS raw
+        FROM (SELECT *, p_partkey % 7 <> 3 AND p_partkey % 11 <> 5 AND p_partkey % 13 <> 1 AS good FROM m) q
+        WHERE NOT (p_partkey % 11 = 5 AND p_partkey % 13 = 1)
+        UNION ALL SELECT NULL, NULL, NULL, raw FROM m WHERE p_partkey % 11 = 5 AND p_partkey % 13 = 1""",
     "sink_csv_roundtrip": ANALYSES_SQL["a07_ethnicity_per_body"],
     "sink_csv_null_roundtrip": f"{FIX} SELECT DRVR_ZIP FROM persons",
     "src_named_tables": ANALYSES_SQL["a08_zips_alcohol_counts"],

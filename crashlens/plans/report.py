@@ -183,6 +183,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="shared output folder")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--infer-schema", action="store_true")
+    parser.add_argument("--mixed-headers", action="store_true", help="the files of a CSV folder may have different headers")
     parser.add_argument("--spread-to", type=int, default=None, help="partitions to deal staged input rows to")
     parser.add_argument("--parallelism", type=int, default=4, help="analyses submitted at once")
     parser.add_argument("--run-id", default=None, help="name of the input's version; a job with the same name goes on where the last one stopped")
@@ -190,7 +191,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("crashlens-report").getOrCreate()
     tables = read_tables(spark, {"person": args.person, "units": args.units, "damages": args.damages},
-                         fmt=args.format, infer=args.infer_schema)
+                         fmt=args.format, infer=args.infer_schema, mixed=args.mixed_headers)
     status = run_report(spark, tables, args.out, stage_tables=args.format == "csv", parallelism=args.parallelism,
                         pool=args.pool, spread_to=args.spread_to, run_id=args.run_id)
     status.write.mode("overwrite").json(os.path.join(args.out, "_report"))

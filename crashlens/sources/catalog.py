@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crashlens.session import remove_path, scratch_path
+from crashlens.sources.csv_load import read_csv_mixed
 from crashlens.sources.schemas import REQUIRED_COLUMNS, TABLE_TYPES
 
 
@@ -56,9 +57,10 @@ def read_csv_typed(spark: SparkSession, path: str, types: dict[str, T.DataType]
 
     Columns are matched by header name, so extra or reordered columns do no
     harm as long as all files below ``path`` have the same header; Spark
-    stops with an error at a file that has another one. ``try_cast`` turns a
-    malformed number into NULL instead of failing the job under ANSI mode
-    (:func:`malformed_counts` counts them). The CSV reader prunes columns,
+    stops with an error at a file that has another one (``read_csv_mixed``
+    reads such folders). ``try_cast`` turns a malformed number into NULL
+    instead of failing the job under ANSI mode (:func:`malformed_counts`
+    counts them, ``load_csv`` keeps their records apart). The CSV reader prunes columns,
     so unused fields are never converted.
     """
     raw = _raw_csv(spark, path, sep)
@@ -87,12 +89,13 @@ def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     return spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv", infer: bool = False) -> DataFrame:
-    """Read one named crash table (``person``, ``units`` or ``damages``)."""
+def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv", infer: bool = False, mixed: bool = False) -> DataFrame:
+    """Read one named crash table (``person``, ``units`` or ``damages``); ``mixed`` allows CSV files with different headers."""
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
-        df = read_csv_inferred(spark, path) if infer else read_csv_typed(spark, path, TABLE_TYPES.get(name))
+        typed = read_csv_mixed if mixed else read_csv_typed
+        df = read_csv_inferred(spark, path) if infer else typed(spark, path, TABLE_TYPES.get(name))
     else:
         df = spark.read.format(fmt).load(path)
     missing = [c for c in REQUIRED_COLUMNS.get(name, ()) if c not in df.columns]
@@ -101,9 +104,10 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv", infe
     return df
 
 
-def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", infer: bool = False) -> CrashTables:
+def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", infer: bool = False,
+                mixed: bool = False) -> CrashTables:
     """Named dataset -> path mapping (the job's configuration) to tables."""
-    return CrashTables(**{name: read_table(spark, name, paths[name], fmt, infer)
+    return CrashTables(**{name: read_table(spark, name, paths[name], fmt, infer, mixed)
                           for name in ("person", "units", "damages")})
 
 
