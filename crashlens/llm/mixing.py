@@ -3,8 +3,9 @@
 Each source gets a mean repetition rate: its target share of the output rows
 over the rows it has. A document's number of copies is a Poisson variable with
 that mean, found by inverting the distribution at a uniform number hashed from
-the document's id and a seed, so a rerun or a lost executor gives the same
-copies. Copies are exploded and dealt out globally by a hash of (id, copy).
+the document's id and a seed (rows that share an id also take their place), so a
+rerun or a lost executor gives the same copies. Copies are exploded and dealt
+out globally by a hash of (id, copy).
 
 Everything is DataFrame functions. The per-source table (rate and cumulative
 distribution) has one row per source and is written first, so Spark knows its
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 
 from crashlens.llm.tables import written
 
+#: A larger mean is drawn in parts, so that a distribution's steps are few.
+SPLIT = 32
+STEP = 128  # more copies than a draw of mean ``SPLIT`` or less can give
+
 #: 13 hex digits are 52 bits, which a double holds exactly.
 _HEX = 13
 
@@ -75,26 +80,41 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, *, key: str =
         rows: float = 1.0, temper: float = 0.5, seed: str = "mix") -> DataFrame:
     """Copies of ``docs`` with its columns, plus ``copy`` (1, 2, ...) and ``shuffle_key`` in [0, 1).
 
-    A document of rate r appears 0, 1, 2, ... times, r times on average. Rows
-    that repeat (same id) get the same number of copies each. Null ids draw
-    from the hash of an empty id. Output rows lie in partitions in the order
-    of ``shuffle_key``, ranges of which are dealt to partitions, so reading the
+    A row of rate r appears 0, 1, 2, ... times, r times on average, independently
+    of all others. A row draws by its id; rows that share an id, or have none
+    with others, draw by id and place in the input (which needs no more than that the same
+    files are read in the same splits). A rate over ``SPLIT`` is split into
+    equal draws of at most that rate, which are dealt out by themselves; the
+    numbers in ``copy`` then have gaps, each draw counting from a
+    multiple of ``STEP`` on. Output rows lie in partitions in the order of
+    ``shuffle_key``, ranges of which are dealt to partitions, so reading the
     parts in order is a global shuffle. Existing columns named ``copy`` or
-    ``shuffle_key`` are replaced. An empty table gives an empty result.
+    ``shuffle_key`` are replaced; all others stay, whatever they are called. A
+    null source is a source of its own. An empty table gives an empty result.
     """
     rates = source_rates(docs, weights, source=source, rows=rows, temper=temper)
-    steps = written(rates.select("_source", poisson_steps(F.col("rate")).alias("_steps")), "mix-steps")
-    drawn = docs.drop("copy", "shuffle_key").withColumn("_u", uniform(F.lit(seed), key))
-    joined = drawn.join(steps, drawn[source].eqNullSafe(steps["_source"]), "inner")
-    # Copies: how many steps of the distribution lie at or below the number drawn.
-    copies = F.size(F.filter("_steps", lambda c: c <= F.col("_u")))
-    return (
-        joined.withColumn("_copies", copies)
-        .where(F.col("_copies") > 0)
-        .drop("_steps", "_u", "_source")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_copies")
-        .withColumn("shuffle_key", uniform(F.lit(seed + "-order"), key, "copy"))
-        .repartitionByRange("shuffle_key")
-        .sortWithinPartitions("shuffle_key", key)
-    )
+    parts = F.greatest(F.ceil(F.col("rate") / SPLIT), F.lit(1)).cast("int")
+    steps = rates.select("_source", parts.alias("parts"), poisson_steps(F.col("rate") / parts).alias("steps"))
+    steps = written(steps, "mix-steps")
+    several = docs.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = written(several.select("id", F.lit(True).alias("several")), "mix-repeated")
+    kept = docs.drop("copy", "shuffle_key")
+    row = F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("row")  # no name of a column can clash with those used here
+    placed = kept.select(row, F.col(key).alias("key"), F.col(source).alias("source"), F.monotonically_increasing_id().alias("place"))
+    joined = placed.join(several, placed["key"].eqNullSafe(several["id"]), "left").join(steps, F.col("source").eqNullSafe(F.col("_source")), "inner")
+    joined = joined.select("row", "key", "parts", "steps", F.when(F.col("several"), F.col("place")).alias("place"))
+    who = F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("place").cast("string"))  # an unset place is left out
+
+    def copies(drawn: DataFrame, u: Column, part: Column) -> DataFrame:
+        # Copies: how many steps of the distribution lie at or below the number drawn.
+        n = F.size(F.filter("steps", lambda c: c <= u))
+        made = drawn.withColumn("n", n).where(F.col("n") > 0).select("row", "key", "place", part.alias("part"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+        copy = ((F.col("part") - 1) * STEP + F.col("i")).cast("int")
+        return made.select("row", "key", copy.alias("copy"), uniform(F.lit(seed + "-order"), who, copy).alias("shuffle_key"))
+
+    out = copies(joined.where("parts = 1").withColumn("u", uniform(F.lit(seed), who)), F.col("u"), F.lit(1))
+    if not steps.where("parts > 1").isEmpty():
+        split = joined.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(1), F.col("parts"))))
+        split = split.withColumn("u", uniform(F.lit(seed), who, "part")).repartition("u")
+        out = out.unionByName(copies(split, F.col("u"), F.col("part")))
+    return out.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key", "key").select("row.*", "copy", "shuffle_key")

@@ -95,7 +95,7 @@ FROM documents LEFT JOIN summed USING (doc_id)
 
 
 def mix_sql(table: str = "documents", columns: str = "doc_id, source", *, temper: float = 0.5, seed: str = "mix") -> str:
-    """SQL for the rows of ``mix`` without weights, as many as the table has."""
+    """SQL for the rows of ``mix`` without weights, as many as the table has; ids are unique (others draw by their place in the input)."""
     def u(*parts: str) -> str:
         text = " || ':' || ".join(parts)
         return f"(CAST('0x' || substr(md5({text}), 1, {_HEX}) AS BIGINT) / {float(1 << 4 * _HEX)!r})"
@@ -105,13 +105,15 @@ def mix_sql(table: str = "documents", columns: str = "doc_id, source", *, temper
 WITH counts AS (SELECT source, count(*) AS n FROM {table} GROUP BY source),
 shares AS (SELECT source, n, pow(CAST(n AS DOUBLE), {temper!r}) AS share FROM counts),
 rates AS (SELECT source, share / (SELECT sum(share) FROM shares) * (SELECT sum(n) FROM shares) / n AS rate FROM shares),
-terms AS (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1.0)) AS p FROM rates, range(0, 1000) t(k)
+parts AS (SELECT source, rate / greatest(ceil(rate / 32), 1) AS rate, CAST(greatest(ceil(rate / 32), 1) AS BIGINT) AS parts FROM rates),
+terms AS (SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1.0)) AS p FROM parts, range(0, 128) t(k)
           WHERE k <= ceil(rate + 12 * sqrt(rate) + 24)),
 steps AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM terms),
-drawn AS (SELECT *, {u(f"'{seed}'", doc)} AS u FROM {table}),
+split AS (SELECT d.*, parts, unnest(range(1, parts + 1)) AS part FROM {table} d JOIN parts s ON s.source IS NOT DISTINCT FROM d.source),
+drawn AS (SELECT *, CASE WHEN parts = 1 THEN {u(f"'{seed}'", doc)} ELSE {u(f"'{seed}'", doc, "CAST(part AS VARCHAR)")} END AS u FROM split),
 copies AS (SELECT *, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.cdf <= d.u) AS copies
            FROM drawn d),
-rows AS (SELECT *, unnest(range(1, copies + 1)) AS i FROM copies)
+rows AS (SELECT *, (part - 1) * 128 + unnest(range(1, copies + 1)) AS i FROM copies)
 SELECT {columns}, CAST(i AS INTEGER) AS copy, {u(f"'{seed}-order'", doc, "CAST(i AS VARCHAR)")} AS shuffle_key FROM rows
 """
 

@@ -39,7 +39,7 @@ def copies(u, rate):
 
 
 def test_mixing_inverts_the_poisson_distribution(spark):
-    rows = [(i, f"t{i}", "big" if i % 3 else f"s{i % 7}") for i in range(600)] + [(700, None, None), (None, "n", "s1"), (5, "t5", "big")]
+    rows = [(i, f"t{i}", "big" if i % 3 else f"s{i % 7}") for i in range(600)] + [(700, None, None), (None, "n", "s1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copy", F.lit("old"))
     rates = {r["_source"]: r["rate"] for r in source_rates(docs).collect()}
     n = {s: sum(r[2] == s for r in rows) for s in rates}
@@ -64,8 +64,40 @@ def test_mixing_to_given_weights(spark):
     assert set(got) == {"a", "b"}
     assert abs(got["a"] - 3000) < 250 and abs(got["b"] - 1000) < 150
     assert mix(docs.limit(0)).collect() == []
-    large = mix(docs.limit(3).withColumn("source", F.lit("a")), {"a": 1}, rows=900.0)  # exp(-900) is no double
-    assert abs(large.count() - 2700) < 300
+
+
+def test_mixing_splits_large_rates(spark):
+    docs = spark.range(3).selectExpr("id as doc_id", "'a' as source")
+    got = mix(docs, {"a": 1}, rows=900.0).collect()  # exp(-900) is no double
+    want = []
+    for i in range(3):
+        for part in range(1, 30):  # 900 / 32, rounded up
+            want += [(i, (part - 1) * 128 + c) for c in range(1, copies(uniform("mix", i, part), 900 / 29) + 1)]
+    assert sorted((r.doc_id, r["copy"]) for r in got) == want and abs(len(want) - 2700) < 300
+    one = spark.createDataFrame([(1, "rare")], "doc_id long, source string").unionByName(spark.range(2, 5002).selectExpr("id as doc_id", "'common' as source"))
+    many = mix(one, {"rare": 1.0, "common": 0.01}, rows=20.0)  # a rate of 99,000 for one row
+    assert abs(many.where("source = 'rare'").count() - 99_000) < 2_000
+    assert many.where("source = 'rare'").select("copy").distinct().count() == many.where("source = 'rare'").count()
+
+
+def test_rows_that_share_an_id_draw_each_for_itself(spark):
+    same = spark.range(2000).selectExpr("cast(null as long) as doc_id", "'copy' as text", "'none' as source")
+    hot = spark.range(3000).selectExpr("7L as doc_id", "cast(id as string) as text", "'hot' as source")
+    rest = spark.range(100, 2100).selectExpr("id as doc_id", "'x' as text", "'rest' as source")
+    docs = same.unionByName(hot).unionByName(rest).repartition(5)
+    mixed = mix(docs, {"none": 2000, "hot": 6000, "rest": 1000}, rows=9 / 7)
+    got = {r.source: r.n for r in mixed.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    for name, n in (("none", 2000), ("hot", 6000), ("rest", 1000)):
+        assert abs(got[name] - n) < 6 * n**0.5
+    assert mixed.select("shuffle_key").distinct().count() == mixed.count()
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "source", "row", "key", "place", "parts", "steps", "u", "n", "id", "several", "_u", "_steps", "_source", "_copies", "part", "i"]
+    docs = spark.createDataFrame([(k, "s", *[f"{c}{k}" for c in names[2:]]) for k in range(50)], ", ".join(f"`{c}` {'long' if c == 'doc_id' else 'string'}" for c in names))
+    got = mix(docs, rows=2.0)
+    assert got.columns == [*names, "copy", "shuffle_key"]
+    assert all(tuple(r)[2:17] == tuple(f"{c}{r.doc_id}" for c in names[2:]) for r in got.collect())
 
 
 # --- decontamination
