@@ -19,6 +19,7 @@ extraction is one pass over the pages without a shuffle.
 from __future__ import annotations
 
 import html
+import itertools
 import random
 import re
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlens.llm.sampling import drawn
+
 SAMPLE = 250  # pages that train the field
 LAYOUTS = 3  # random layouts of each
 
@@ -39,7 +42,7 @@ _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = frozenset("button canvas datalist iframe math noframes noscript object option script select style svg template textarea title".split())
+_SILENT = frozenset("script style template title".split())  # what no page shows; of anything else the field decides
 
 
 class Block(NamedTuple):
@@ -79,7 +82,7 @@ class _Reader(HTMLParser):
             self.links -= tag == "a"
         del self.stack[to:]
 
-    def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
+    def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]], closed: bool = False) -> None:
         if tag in _BLOCKS:
             self.flush()
             for at in range(len(self.stack) - 1, -1, -1):  # a new block ends an open paragraph
@@ -90,13 +93,13 @@ class _Reader(HTMLParser):
                     break
         if tag == "br":
             self.parts.append((" ", False))
-        if tag not in _VOID:
+        if tag not in _VOID and not closed:
             self.stack.append((tag, _class_words(attributes)))
             self.silent += tag in _SILENT
             self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attributes)
+        self.handle_starttag(tag, attributes, closed=True)  # nothing lies inside it
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCKS:
@@ -298,15 +301,15 @@ def decode(field: Field, page: list[Block]) -> list[int]:
 
 def train(pages: DataFrame, *, key: str = "page_id", html_column: str = "html", main: Callable[[Block], bool] = marked_main,
           sample: int = SAMPLE, layouts: int = LAYOUTS, seed: int = 5) -> Field:
-    """A field from the ``sample`` pages smallest by a hash of their id, as they are and in random layouts.
+    """A field from about ``sample`` pages (at most twice as many), as they are and in random layouts.
 
-    Pages without a block that ``main`` takes teach nothing. Without any page the
-    field takes every block.
+    Pages are drawn by a hash of id and page, equal rows count once, and only
+    drawn pages leave their task. Pages without a block that ``main`` takes teach
+    nothing. Without any page the field takes every block.
     """
-    rows = (
-        pages.where(F.col(html_column).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(html_column).alias("h"))
-        .orderBy(F.xxhash64(F.lit("pages"), "k"), "k", "h").limit(sample).collect()
-    )
+    known = pages.where(F.col(html_column).isNotNull()).select(F.col(key).cast("string").alias("k"), F.xxhash64(html_column).alias("hh"), F.col(html_column).alias("h"))
+    rows = drawn(known, pages.count(), sample, "pages", "k", "hh", limit=False).dropDuplicates(["k", "hh"]).limit(2 * sample).collect()
+    rows.sort(key=lambda r: (r["hh"], r["k"] or ""))
     read = [(page, [int(main(b)) for b in page]) for page in (blocks(r["h"]) for r in rows)]
     read = [p for p in read if any(p[1])]
     other = [b.text for page, _ in read for b in page] or ["-"]
@@ -330,15 +333,17 @@ def extract(pages: DataFrame, field: Field, *, html_column: str = "html") -> Dat
 
     ``text`` is the blocks of the main text joined by two line ends, each block's
     white space turned into single spaces; it is empty for null, empty or
-    blockless pages and where no block is main text.
+    blockless pages and where no block is main text. Rows are read each by
+    itself: equal rows give equal results. Other columns may have any name.
     """
     names = [c for c in pages.columns if c not in (html_column, "text", "n_blocks", "n_kept")]
-    source = pages.select(*names, F.col(html_column).alias("_html"))
+    page_column = next(n for i in itertools.count() if (n := f"_html{i}") not in names)
+    source = pages.select(*names, F.col(html_column).alias(page_column))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_blocks, n_kept = [], [], []
-            for page in batch.column("_html"):
+            for page in batch.column(page_column):
                 own = blocks(page.as_py())
                 kept = [b.text for b, y in zip(own, decode(field, own)) if y]
                 texts.append("\n\n".join(kept))

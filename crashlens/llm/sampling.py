@@ -12,10 +12,11 @@ LONGEST = 1 << 16
 _PARTS = 1 << 40
 
 
-def drawn(rows: DataFrame, size: int, sample: int, seed: str, *columns: str) -> DataFrame:
-    """About ``sample`` of ``size`` distinct rows, by a hash of ``columns``; never more than twice as many."""
+def drawn(rows: DataFrame, size: int, sample: int, seed: str, *columns: str, limit: bool = True) -> DataFrame:
+    """About ``sample`` of ``size`` distinct rows, by a hash of ``columns``; with ``limit`` never more than twice as many."""
     share = min(1.0, sample / max(size, 1))
-    return rows.where(F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(_PARTS)) < int(share * _PARTS)).limit(2 * sample)
+    some = rows.where(F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(_PARTS)) < int(share * _PARTS))
+    return some.limit(2 * sample) if limit else some
 
 
 def labelled(docs: DataFrame, labels: DataFrame, held_out: Column, *, key: str, text: str, label: str, sample: int,

@@ -378,6 +378,18 @@ def test_blocks_of_broken_pages():
     assert html_text.blocks(None) == html_text.blocks("") == html_text.blocks("<p> </p><script>a") == []
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><svg/>lost text<p>ok</p>more</article>", ["lost text", "ok", "more"]),
+    ("<p>Let <math>x</math> be <svg/> and more text</p>", ["Let x be and more text"]),
+    ("<p>a <svg><title>t</title><path d='x'/><text>label</text></svg> b<br/>c</p>", ["a label b c"]),
+    ("<article>a <noscript>b</noscript> <object>c</object> <button>d</button> <textarea>e</textarea></article>", ["a b c d e"]),
+    ("<div/>x<p/>y<script/>z<style>s</style><template><p>t</p></template>w", ["x", "yz", "w"]),
+    ("<table><tr><td>1<td>2<tr><th>3</table><dl><dt>k<dd>v</dl><ul><li>i<li>j</ul>", ["1", "2", "3", "k", "v", "i", "j"]),
+])
+def test_blocks_drop_only_what_no_page_shows(page, want):
+    assert [b.text for b in html_text.blocks(page)] == want
+
+
 def brute_best(field, page):
     import itertools
 
@@ -423,9 +435,10 @@ def test_pages(spark):
         rows.append((i, f"http://h/{i}", f"<html><body><nav><a href='/'>{sentence(rng, 2)}</a></nav><article>{body}</article><footer>&copy; {sentence(rng, 5)}</footer>{end}"))
     rows += [(100, None, None), (101, "u", ""), (102, "u", "<script>x</script>"), (None, "u", rows[0][2]), (0, "http://h/0", rows[0][2])]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n_blocks", F.lit("old"))
+    pages = pages.withColumns({c: F.lit("own") for c in ("_html", "_html0", "k", "h")})
     got = html_text.extract(pages, html_text.train(pages, layouts=1))
-    assert got.columns == ["page_id", "url", "text", "n_blocks", "n_kept"]
-    found = [tuple(r) for r in got.collect()]
+    assert got.columns == ["page_id", "url", "_html", "_html0", "k", "h", "text", "n_blocks", "n_kept"]
+    found = [(r.page_id, r.url, r.text, r.n_blocks, r.n_kept) for r in got.collect()]
     assert len(found) == len(rows)
     for i, _, text, *_ in found:
         assert text == (want[i] if i in want else want[0] if i is None else "")
