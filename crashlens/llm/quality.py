@@ -6,9 +6,8 @@ one hidden layer, and weighted by gated attention; the weighted mean of the
 encoded passages is what the document's score is computed from. Only documents
 carry labels: the attention learns by itself which passages decide.
 
-Training takes a bounded sample of the labelled documents (the ``sample``
-smallest by a hash of the id), whose passage features, not texts, come to the
-driver. Scoring is one pass over the documents without a shuffle.
+Training takes a bounded sample of the labelled documents, drawn by a hash of
+id and text, whose passage features, not texts, come to the driver. Scoring is one pass over the documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlens.llm.sampling import labelled
+from crashlens.llm.tables import remove
 from crashlens.llm.words import WHITE_SPACE, raw_bytes, slices, split_words
 
 PASSAGE = 64  # words
@@ -148,24 +149,22 @@ def held_out(key: str = "doc_id") -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model:
     """A model of ``label`` (1 or 0) from labelled rows that are not held out.
 
-    Rows whose label is null or whose text is not there are no examples; null
-    texts count as empty. Without any example, or with one class only, the
-    model still scores (all alike).
+    See :func:`crashlens.llm.sampling.labelled` for the rows that teach: about
+    ``sample`` distinct pairs of id and text, however many rows repeat them; null labels and
+    null or very long texts teach nothing. Without any example, or with one
+    class only, the model still scores (all alike).
     """
-    chosen = (
-        labels.where(F.col(label).isin(0, 1) & ~held_out(key)).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y"))
-        .distinct().orderBy(F.xxhash64("_key"), "_key", "y").limit(sample)
-    )
-    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(chosen, "_key")
+    texts = labelled(docs, labels, held_out(key), key=key, text=text, label=label, sample=sample)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 x, first = passages(part.column("text"))
                 raw = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("_key").cast(pa.string()), part.column("y"), pa.array(raw, pa.binary())], ["k", "y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("key").cast(pa.string()), part.column("y"), pa.array(raw, pa.binary())], ["k", "y", "x"])
 
     rows = sorted(texts.mapInArrow(features, "k string, y int, x binary").collect(), key=lambda r: (r["k"], r["y"], r["x"]))
+    remove(texts)
     if not rows:
         return fit(np.zeros((1, FEATURES)), np.array([0, 1]), np.array([0.5]), steps=1)
     bags = [np.frombuffer(r["x"], dtype=np.float32).reshape(-1, FEATURES).astype(float) for r in rows]
