@@ -55,6 +55,32 @@ def summed_counters(df: DataFrame, size: int, count: Callable[[pa.RecordBatch, n
     return total.reshape(-1)[:size]
 
 
+def marked_flags(df: DataFrame, bits: int, mark: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
+    """``2**bits`` flags over all rows: ``mark(batch, flags)`` sets those of a batch.
+
+    A task sends its flags as ``_SLICES`` bitmaps at most, which are put together on the executors.
+    """
+    width = (1 << bits) // _SLICES
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << bits, dtype=bool)
+        for batch in batches:
+            mark(batch, own)
+        parts = own.reshape(_SLICES, width)
+        keep = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int32()), pa.array([np.packbits(parts[i]).tobytes() for i in keep], pa.binary())], ["slice", "flags"])
+
+    def unite(table: pa.Table) -> pa.Table:
+        both = np.bitwise_or.reduce([np.frombuffer(x.as_py(), dtype=np.uint8) for x in table.column("flags")])
+        return pa.table({"slice": table.column("slice").slice(0, 1).cast(pa.int32()), "flags": pa.array([both.tobytes()], pa.binary())})
+
+    schema = "slice int, flags binary"
+    out = np.zeros((_SLICES, width), dtype=bool)
+    for row in df.mapInArrow(tasks, schema).groupBy("slice").applyInArrow(unite, schema).collect():  # _SLICES rows at most
+        out[row["slice"]] = np.unpackbits(np.frombuffer(bytes(row["flags"]), dtype=np.uint8), count=width)
+    return out.reshape(-1)
+
+
 def hash_flags(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """``2**bits`` flags: those of the top bits of the 64-bit hashes in ``column`` are set."""
     value = F.shiftrightunsigned(column, 64 - bits)

@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.llm.counters import hash_flags, summed_counters
+from crashlens.llm.counters import marked_flags, summed_counters
 from crashlens.llm.tables import remove, written
-from crashlens.llm.words import WHITE_SPACE, U64, Words, raw_bytes, shrink, slices, split_words, windows
+from crashlens.llm.words import WHITE_SPACE, U64, Words, _mix, raw_bytes, shrink, slices, split_words, windows
 
 GROUP = 1 << 18  # suffixes of a group
 HELD = 1 << 20  # suffixes a task merges at once
@@ -209,15 +209,15 @@ def _without(words: Words, data: bytes, low: int, high: int, gone: np.ndarray) -
     return b"".join(out).decode("utf-8", "replace")
 
 
-def _hit_ids(found: DataFrame) -> DataFrame:
-    """``(id)``: the documents that the rows of repeats name, each once a row."""
+def _flag(ids: np.ndarray) -> np.ndarray:
+    """The flag of each document id."""
+    return shrink(_mix(ids.astype(np.int64).view(U64)), FLAG_BITS)
 
-    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw in batch.column("suffixes"):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_decode(raw.as_py())[0]))], ["id"])
 
-    return found.mapInArrow(ids, "id long")
+def _mark_hits(batch: pa.RecordBatch, flags: np.ndarray) -> None:
+    """Sets the flags of the documents that rows of repeats name."""
+    for raw in batch.column("suffixes"):
+        flags[_flag(_decode(raw.as_py())[0])] = True
 
 
 def _hot_ids(rows: DataFrame, blocks: int) -> tuple[list[int], int]:
@@ -256,13 +256,13 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     prefixes, _, total = find_prefixes(usable, window, group)
     blocks = 2 * (total // BLOCK // 2) + 7  # odd
     found = written(_repeats(_suffixes(usable, prefixes, window, blocks), blocks), "repeats")
-    flags = np.packbits(hash_flags(_hit_ids(found).select(F.xxhash64("id").alias("h")), "h", FLAG_BITS), bitorder="little")
+    flags = np.packbits(marked_flags(found, FLAG_BITS, _mark_hits), bitorder="little")
     hot, salts = _hot_ids(usable, blocks)
-    keyed = source.withColumn("_flag", F.xxhash64("_key"))
 
     def chosen(batch: pa.RecordBatch, hit: bool) -> pa.RecordBatch:
-        at = shrink(batch.column("_flag").to_numpy().view(U64), FLAG_BITS)
-        own = ((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) & batch.column("_key").is_valid().to_numpy(zero_copy_only=False)
+        keys = batch.column("_key")
+        at = _flag(keys.fill_null(0).to_numpy())
+        own = ((flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1) & keys.is_valid().to_numpy(zero_copy_only=False)
         return batch.filter(pa.array(own if hit else ~own))
 
     def finish(left: pa.Table, right: pa.Table | None) -> pa.Table:
@@ -321,13 +321,13 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     schema = T.StructType().add("_key", long).add("text", T.StringType()).add("n_words", long).add("n_removed", long).add("spans", T.ArrayType(span))
     for m in more:
         schema = schema.add(source.schema[m])
-    rows = keyed.mapInArrow(hits, keyed.schema)
+    rows = source.mapInArrow(hits, source.schema)
     salt = F.when(F.col("_key").isin(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(0)
     rows = rows.withColumn("block", F.pmod("_key", F.lit(blocks)).cast("int")).withColumn("salt", salt)
     every = F.when(F.col("block").isin([i % blocks for i in hot]), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeats = found.withColumn("salt", F.explode(every))
     done = rows.groupBy("block", "salt").cogroup(repeats.groupBy("block", "salt")).applyInArrow(finish, schema)
-    done = done.unionByName(keyed.mapInArrow(clean, schema))
+    done = done.unionByName(source.mapInArrow(clean, schema))
     return done.withColumnsRenamed({"_key": key, "text": text} | dict(zip(more, carry)))
 
 
