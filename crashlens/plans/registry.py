@@ -25,6 +25,7 @@ from crashlens.session import scratch_path
 from crashlens.sources.catalog import CrashTables, read_csv_inferred, read_csv_typed, read_tables, stage
 from crashlens.sources.csv_load import load_csv, read_csv_mixed
 from crashlens.sources.fixture import load_fixture
+from crashlens.sources.infer import read_csv_safe_inferred
 from crashlens.sources.sink import read_result, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +84,13 @@ def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_inferred(spark, path)
 
 
+def src_csv_safe_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons through a headed CSV and back with inferred types: zips keep their zeros, counts become numbers."""
+    path = scratch_path(spark, "persons-csv")
+    _fixture(spark, sf_dir).person.write.option("header", True).csv(path)
+    return read_csv_safe_inferred(spark, path).select("UNIT_NBR", "DRVR_ZIP", "DEATH_CNT", "PRSN_GNDR_ID")
+
+
 def src_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` from one folder of CSV files with three headers: all columns, another order, one column less."""
     path = scratch_path(spark, "part-mixed-csv")
@@ -154,6 +162,7 @@ def report_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCE_QUERIES: dict[str, Query] = {
     "src_csv_typed": src_csv_typed,
     "src_csv_inferred": src_csv_inferred,
+    "src_csv_safe_inferred": src_csv_safe_inferred,
     "src_csv_mixed_headers": src_csv_mixed_headers,
     "src_csv_rescued": src_csv_rescued,
     "sink_csv_roundtrip": sink_csv_roundtrip,
@@ -186,6 +195,7 @@ def _status_sql() -> str:
 SOURCE_SQL: dict[str, str] = {
     "src_csv_typed": "SELECT * FROM part",
     "src_csv_inferred": "SELECT * FROM nation",
+    "src_csv_safe_inferred": f"{FIX} SELECT CAST(UNIT_NBR AS INTEGER) AS UNIT_NBR, DRVR_ZIP, CAST(DEATH_CNT AS INTEGER) AS DEATH_CNT, PRSN_GNDR_ID FROM persons",
     "src_csv_mixed_headers": "SELECT * REPLACE (CASE WHEN p_partkey % 3 <> 2 THEN p_size END AS p_size) FROM part",
     "src_csv_rescued": """
         WITH t AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_partkey % 7 = 3 THEN 'many' ELSE CAST(p_size AS VARCHAR) END AS size FROM part),
