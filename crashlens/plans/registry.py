@@ -27,6 +27,8 @@ from crashlens.sources.csv_load import load_csv, read_csv_mixed
 from crashlens.sources.fixture import load_fixture
 from crashlens.sources.infer import read_csv_safe_inferred
 from crashlens.sources.sink import read_result, write_csv
+from crashlens.sources.sorted_sink import in_order, read_sorted, write_sorted
+from crashlens.sources.stage_store import StageStore, load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +133,28 @@ def sink_csv_null_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_result(spark, path)
 
 
+def sink_sorted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` by status and date, descending, in many files and back; ``ordered`` says whether the files follow each other."""
+    path = scratch_path(spark, "orders-sorted")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    manifest = write_sorted(orders, path, ["o_orderstatus", "o_orderkey"], descending=True)
+    ordered = in_order(manifest, descending=True)
+    return read_sorted(spark, path, {"o_orderkey": T.LongType()}).drop("_file").withColumn("ordered", F.lit(ordered))
+
+
+def src_stage_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A08 on CSV folders of which a store had staged all but the files that came later."""
+    store = StageStore(spark, scratch_path(spark, "store"))
+    fixture, paths = _fixture(spark, sf_dir).as_dict(), {}
+    for late in (False, True):
+        for name, df in fixture.items():
+            paths.setdefault(name, scratch_path(spark, f"{name}-csv"))
+            part = df.filter((F.col("CRASH_ID") % 5 == 0) == F.lit(late))
+            part.write.mode("append").option("header", True).csv(paths[name])
+        tables, _ = load_tables(store, paths)
+    return A.a08_zips_alcohol(tables, with_counts=True)
+
+
 def src_named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three crash tables as CSV folders, read by name, answering A08 with counts."""
     paths = {name: scratch_path(spark, f"{name}-csv") for name in ("person", "units", "damages")}
@@ -167,6 +191,8 @@ SOURCE_QUERIES: dict[str, Query] = {
     "src_csv_rescued": src_csv_rescued,
     "sink_csv_roundtrip": sink_csv_roundtrip,
     "sink_csv_null_roundtrip": sink_csv_null_roundtrip,
+    "sink_sorted_roundtrip": sink_sorted_roundtrip,
+    "src_stage_store": src_stage_store,
     "src_named_tables": src_named_tables,
     "src_staged_distinct": src_staged_distinct,
     "src_shared_scan": src_shared_scan,
@@ -208,6 +234,8 @@ SOURCE_SQL: dict[str, str] = {
         UNION ALL SELECT NULL, NULL, NULL, raw FROM m WHERE p_partkey % 11 = 5 AND p_partkey % 13 = 1""",
     "sink_csv_roundtrip": ANALYSES_SQL["a07_ethnicity_per_body"],
     "sink_csv_null_roundtrip": f"{FIX} SELECT DRVR_ZIP FROM persons",
+    "sink_sorted_roundtrip": "SELECT o_orderkey, o_orderstatus, o_orderpriority, true AS ordered FROM orders",
+    "src_stage_store": ANALYSES_SQL["a08_zips_alcohol_counts"],
     "src_named_tables": ANALYSES_SQL["a08_zips_alcohol_counts"],
     "src_staged_distinct": ANALYSES_SQL["a07_ethnicity_per_body"],
     "src_shared_scan": _report_sql(),
