@@ -5,9 +5,9 @@ with a mark for a word's ends), most frequent first. A document is ranked the
 same way over its whole text, and its distance to a language is the sum, over
 its most frequent n-grams, of how far each one's rank lies from its rank in
 the profile (at most ``PROFILE``, which is also the price of an n-gram that the
-profile lacks). The nearest profile names the language. N-grams that no
-profile has cost the same everywhere, so documents are ranked over the n-grams
-of all profiles together.
+profile lacks). The nearest profile names the language. All n-grams of a
+document are ranked, those that no profile has too, so a text in a language
+that was not learned is far from all and gets a low score.
 
 Profiles are learned from a bounded hash sample of the labelled documents of
 each language: about ``SAMPLE`` each, told by a hash of the id. N-grams are
@@ -33,7 +33,7 @@ PROFILE = 400  # n-grams of a language
 RANKED = 300  # n-grams of a document
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
-SLICE = 1 << 20  # bytes of text ranked at once
+SLICE = 1 << 19  # bytes of text ranked at once
 _POINT = 21  # bits of a code point
 
 
@@ -141,53 +141,62 @@ class _Ranker:
 
     def __init__(self, profiles: Profiles):
         self.profiles = profiles
-        symbols = sorted({c for g in profiles.grams for c in g} - {" "})
-        self.symbol = np.full(0x110000, len(symbols) + 1, dtype=np.int32)  # letters of no profile
-        self.symbol[0] = 0
-        for i, c in enumerate(symbols):
-            self.symbol[ord(c)] = i + 1
-        self.base = len(symbols) + 2
-        index = {" ": 0} | {c: i + 1 for i, c in enumerate(symbols)}
-        codes: dict[int, list[tuple[int, int]]] = {n: [] for n in LENGTHS}
-        for i, gram in enumerate(profiles.grams):
-            value = 0
-            for c in gram:
-                value = value * self.base + index[c]
-            codes[len(gram)].append((value, i))
-        self.tables = {n: tuple(np.array(x, dtype=np.int64) for x in (zip(*sorted(pairs)) if pairs else ((), ()))) for n, pairs in codes.items()}
-        self.dense: dict[int, np.ndarray] = {}
-
-    def _find(self, n: int, code: np.ndarray) -> np.ndarray:
-        """Number of the profile n-gram with each code, or -1."""
-        values, which = self.tables[n]
-        if self.base**n <= 1 << 24:
-            if n not in self.dense:
-                self.dense[n] = np.full(self.base**n, -1, dtype=np.int32)
-                self.dense[n][values] = which
-            return self.dense[n][code]
-        if not len(values):
-            return np.full(len(code), -1)
-        at = np.minimum(np.searchsorted(values, code), len(values) - 1)
-        return np.where(values[at] == code, which[at], -1)
+        #: Code points of the profiles' n-grams, a mark as 0, nothing as -1.
+        self.points = np.full((len(profiles.grams), max(LENGTHS)), -1, dtype=np.int64)
+        for row, gram in enumerate(profiles.grams):
+            self.points[row, : len(gram)] = [0 if c == " " else ord(c) for c in gram]
 
     def distances(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distance of each text to each language, n-grams that were ranked, letters."""
+        """Distance of each text to each language, n-grams that were ranked, letters.
+
+        All n-grams of a text are counted and ranked, known to some profile or
+        not, equally frequent ones by their spelling. An n-gram is a number whose
+        digits are the slice's own letters (0: nothing, 1: a mark), so numbers
+        sort as the n-grams are spelled; what is held follows the n-grams there
+        are, not the languages.
+        """
         points, owner, count = letters(texts)
-        rows, size = len(texts), len(self.profiles.grams)
-        seen = np.zeros(rows * size, dtype=np.int64)
-        for n, (code, text) in zip(LENGTHS, _grams(self.symbol[points].astype(np.int64), owner, self.base)):
-            which = self._find(n, code)
-            hit = which >= 0
-            seen += np.bincount(text[hit] * size + which[hit], minlength=rows * size)
-        seen = seen.reshape(rows, size)
-        width = min(RANKED, size)
-        order = np.argsort(-seen, axis=1, kind="stable")[:, :width]
-        real = np.take_along_axis(seen, order, axis=1) > 0
-        place = np.arange(width)
+        rows, width = len(texts), max(LENGTHS)
+        symbols = np.union1d(np.zeros(1, dtype=np.int64), points)
+        bits = (len(symbols) + 1).bit_length()
+        if rows > 1 and rows.bit_length() + width * bits > 62:
+            parts = [self.distances(x) for x in (texts.slice(0, rows // 2), texts.slice(rows // 2))]
+            return tuple(np.concatenate(x) for x in zip(*parts))
+        digits, keys = np.searchsorted(symbols, points) + 1, []
+        for n in LENGTHS:
+            size = max(len(points) - n + 1, 0)
+            code = owner[:size] << width * bits
+            ok = owner[:size] == owner[len(owner) - size :]
+            for i in range(n):
+                part = digits[i : i + size]
+                code = code | part << (width - 1 - i) * bits
+                if 0 < i < n - 1 or n == 1:
+                    ok &= part != 1
+            if n == 2:
+                ok &= (digits[:size] != 1) | (digits[1 : size + 1] != 1)
+            keys.append(code[ok])
+        gram, seen = np.unique(np.concatenate(keys), return_counts=True)
+        text = gram >> width * bits
+        order = np.lexsort((-seen, text))  # stable: spelling decides between equals
+        gram, text = gram[order] & (1 << width * bits) - 1, text[order]
+        place = np.arange(len(text)) - np.searchsorted(text, text)
+        top = place < RANKED
+        gram, text, place = gram[top], text[top], place[top]
+        # The profiles' n-grams in this slice's digits; those with a letter that it lacks do not occur.
+        at = np.minimum(np.searchsorted(symbols, self.points), len(symbols) - 1)
+        here = (symbols[at] == self.points) | (self.points < 0)
+        codes = (np.where(self.points < 0, 0, at + 1) << np.arange(width - 1, -1, -1) * bits).sum(axis=1)
+        which = np.flatnonzero(here.all(axis=1))
+        which = which[np.argsort(codes[which])]
+        known = np.full(len(gram), -1)
+        if len(which):
+            found = np.minimum(np.searchsorted(codes[which], gram), len(which) - 1)
+            known = np.where(codes[which][found] == gram, which[found], -1)
         far = np.zeros((rows, len(self.profiles.languages)), dtype=np.int64)
         for i, ranks in enumerate(self.profiles.ranks):
-            far[:, i] = (np.minimum(np.abs(ranks[order] - place), PROFILE) * real).sum(axis=1)
-        return far, real.sum(axis=1), count
+            price = np.where(known < 0, PROFILE, np.minimum(np.abs(ranks[known] - place), PROFILE)) if len(ranks) else np.full(len(gram), PROFILE)
+            far[:, i] = np.bincount(text, weights=price, minlength=rows)
+        return far, np.bincount(text, minlength=rows), count
 
 
 def nearest(profiles: Profiles) -> Callable[[pa.Array], np.ndarray]:
@@ -208,7 +217,8 @@ def identify(docs: DataFrame, profiles: Profiles, *, text: str = "text") -> Data
 
     ``score`` is 1 less the mean out-of-place distance over ``PROFILE``. Equally near
     languages give the first by name; texts with letters, but no n-gram of any
-    profile, get score 0. Null texts, texts without a letter and all texts
+    profile, get score 0. Rows are judged each by itself: equal texts get equal
+    results. Null texts, texts without a letter and all texts
     where nothing was learned are ``und`` with score 0.
     """
     kept = docs.drop("lang_pred", "score")
