@@ -15,6 +15,7 @@ templates are a parameter.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -76,6 +77,25 @@ def _parts(text: bytes) -> list[tuple[str, int, int]]:
     return out
 
 
+class _Inside:
+    """Matches of one text by licence and kind; those of a kind come in the order of the text and do not overlap."""
+
+    def __init__(self) -> None:
+        self.found: dict[str, dict[str, tuple[list[int], list[int], list[float]]]] = {}
+
+    def add(self, licence: str, kind: str, start: int, end: int, dice: float) -> None:
+        for values, x in zip(self.found.setdefault(licence, {}).setdefault(kind, ([], [], [])), (start, end, dice)):
+            values.append(x)
+
+    def has(self, licence: str, start: int, end: int, dice: float) -> bool:
+        """Whether a match of the licence with this coefficient or more lies between ``start`` and ``end``; only matches there are looked at."""
+        for starts, ends, values in self.found.get(licence, {}).values():
+            for k in range(bisect.bisect_left(starts, start), bisect.bisect_right(starts, end)):
+                if ends[k] <= end and values[k] >= dice:
+                    return True
+        return False
+
+
 def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] = TEMPLATES, dice: float = 0.8) -> DataFrame:
     """All columns of ``docs``, then ``matches``: what each matching part is (existing columns of that name are replaced).
 
@@ -85,6 +105,7 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
     smaller part of it matches the same template as well. Windows (kind ``window``)
     take only template bigrams that no matching part or larger window has taken.
     Null and empty texts, and texts with fewer than two words, match nothing.
+    Rows are scanned each by itself: equal texts have equal matches.
     """
     names = sorted(templates)
     own = _bigrams([templates[n] for n in names])
@@ -144,6 +165,7 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
                 free = hit.copy()
                 rows: list[list[dict]] = [[] for _ in range(part.num_rows)]
                 for i in np.unique(words.text[at[hit]]).tolist():
+                    smaller = _Inside()
                     raw = data[offsets[i] : offsets[i + 1]].tobytes()
                     for kind, start, end in _parts(raw):
                         low, high = np.searchsorted(words.start, (offsets[i] + start, offsets[i] + end))
@@ -153,7 +175,8 @@ def scan(docs: DataFrame, *, text: str = "text", templates: Mapping[str, str] =
                             continue
                         value, name = found[0], names[found[1]]
                         free[a:b] &= ~np.isin(hashes[a:b], sets[found[1]])
-                        if not any(start <= m["start"] and m["end"] <= end and m["licence"] == name and m["dice"] >= value for m in rows[i]):
+                        if not smaller.has(name, start, end, value):
+                            smaller.add(name, kind, start, end, value)
                             rows[i].append({"licence": name, "dice": value, "kind": kind, "start": start, "end": end})
                 for t, value, a, b in windowed(hashes, words.text[at], free):
                     i = words.text[at[a]]

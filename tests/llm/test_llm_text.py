@@ -4,8 +4,13 @@ import hashlib
 import math
 import random
 import re
+import time
+import tracemalloc
 import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,19 +189,52 @@ def test_language_held_out_accuracy_and_edge_cases(spark):
     assert language_id.identify(docs.limit(0), profiles).collect() == []
 
 
-def test_language_distance_is_out_of_place():
-    profiles = language_id.Profiles(["x", "y"], sorted(["a", "b", "ab", " ab"]), None)
-    order = {g: i for i, g in enumerate(profiles.grams)}
-    ranks = language_id.np.full((2, 4), 4 * language_id.PROFILE, dtype=int)
-    for row, grams in enumerate((["a", "b", "ab"], ["b", " ab"])):
-        for rank, g in enumerate(grams):
-            ranks[row, order[g]] = rank
-    far, ranked, letters = language_id._Ranker(profiles._replace(ranks=ranks)).distances(language_id.pa.array(["ab a!"]))
-    # a: 2, then " ab", "ab", "b" once each, in the order of their spelling
-    place = {g: i for i, g in enumerate(["a", *sorted([" ab", "ab", "b"])])}
-    price = lambda row, g: min(abs(int(ranks[row, order[g]]) - place[g]), language_id.PROFILE)
-    assert (ranked.tolist(), letters.tolist()) == ([4], [3])
-    assert far.tolist() == [[sum(price(row, g) for g in place) for row in (0, 1)]]
+def brute_grams(text, ranked):
+    """The n-grams of a text from its words, most frequent first, then by spelling."""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    found = Counter()
+    for w in words:
+        marked = f" {w} "
+        found.update(w)
+        found.update(marked[i : i + 2] for i in range(len(marked) - 1))
+        found.update(marked[i : i + 3] for i in range(len(marked) - 2))
+    return sorted(found, key=lambda g: (-found[g], g))[:ranked]
+
+
+@pytest.mark.parametrize("ranked", [10, 300])
+def test_language_distance_is_out_of_place(monkeypatch, ranked):
+    monkeypatch.setattr(language_id, "RANKED", ranked)
+    rng = random.Random(3)
+    own = {"x": ["a", "b", "ab", " ab"], "y": ["b", " ab", "ü", "zz"], "z": ["q"]}
+    grams = sorted({g for x in own.values() for g in x})
+    ranks = np.full((3, len(grams)), 4 * language_id.PROFILE, dtype=np.int32)
+    for row, some in enumerate(own.values()):
+        for rank, g in enumerate(some):
+            ranks[row, grams.index(g)] = rank
+    profiles = language_id.Profiles(list(own), grams, ranks)
+    texts = ["ab a!", "", None, "zz ü 12 b", "日本語 ab", "Über ab AB b", " ".join("".join(rng.choice("abüzqé日") for _ in range(rng.randrange(1, 6))) for _ in range(3000))]
+    texts += ["".join(chr(c) for c in range(0x4E00, 0x9000)) + " ab ab"]  # so many letters that texts are ranked apart
+    far, n, letters = language_id._Ranker(profiles).distances(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        order = brute_grams(text or "", ranked)
+        assert n[i] == len(order) and letters[i] == sum(c.isalpha() for c in (text or "").lower())
+        for row, some in enumerate(own.values()):
+            assert far[i, row] == sum(min(abs(some.index(g) - place), language_id.PROFILE) if g in some else language_id.PROFILE for place, g in enumerate(order))
+
+
+def test_language_memory_follows_the_text_not_the_languages():
+    rng = random.Random(8)
+    grams = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüéèß") for _ in range(rng.randrange(1, 4))) for _ in range(20_000)})
+    ranks = np.full((100, len(grams)), 4 * language_id.PROFILE, dtype=np.int32)
+    for row in range(100):
+        ranks[row, rng.sample(range(len(grams)), language_id.PROFILE)] = np.arange(language_id.PROFILE)
+    ranker = language_id._Ranker(language_id.Profiles([f"l{i:03}" for i in range(100)], grams, ranks))
+    texts = pa.array([sentence(rng, 3) + " abc" for _ in range(5000)])
+    tracemalloc.start()
+    ranker.distances(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
 
 
 # --- quality
@@ -283,6 +321,17 @@ def test_licences_are_those_of_brute_force(docs_of):
     assert got[0]["class"] == "x"
 
 
+def test_a_long_list_of_licence_lines_takes_linear_time(spark):
+    name, text = next((n, t) for n, t in licenses.TEMPLATES.items() if t)
+    took = []
+    for n in (1000, 4000):
+        docs = spark.createDataFrame([(1, "\n".join(text for _ in range(n)))], "doc_id long, text string")
+        start = time.time()
+        assert len(licenses.scan(docs).first().matches) >= n
+        took.append(time.time() - start)
+    assert took[1] < 12 * max(took[0], 0.5)
+
+
 def test_licences_inside_lines_and_comments(docs_of):
     rng = random.Random(9)
     full = licenses.TEMPLATES
