@@ -91,5 +91,32 @@ def test_run_gives_the_rows_of_the_stages(spark, tmp_out):
 
 def test_every_operator_has_one_query():
     names = list(queries.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert set(queries.oracle_sql()) <= set(names)
+
+
+def test_stages_on_empty_tables(spark, tmp_out):
+    """No documents, no labels, no benchmark: each stage gives the columns of documents, and loses nothing where there is nothing to go by."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = random.Random(9)
+    texts = [sentence(rng, 60, 10**5) for _ in range(6)]
+    docs = written(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(9, None, None, None, None)], schema), "test-docs")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_out}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_out}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.limit(0), tmp_out)
+        assert none.collect() == [] and none.columns[: len(docs.columns)] == docs.columns
+        if name != "mixing":
+            assert sorted(r.doc_id for r in stage(spark, docs, tmp_out).collect()) == [0, 1, 2, 3, 4, 5, 9], name
+
+
+def test_stages_carry_other_columns(spark, tmp_out):
+    items = small_tables(spark, tmp_out)
+    docs = spark.read.parquet(f"{tmp_out}/documents.parquet")
+    more = ["class", "component", "block", "salt", "hash", "value", "place", "key", "row"]
+    wide = written(docs.select("*", *[docs.doc_id.cast("string").alias(c) for c in more]), "test-wide")
+    assert items
+    for _, stage in corpus_pipeline.STAGES:
+        wide = written(stage(spark, wide, tmp_out), "test-wide")
+        rows = wide.collect()
+        assert rows and all(r[c] == str(r.doc_id) for r in rows for c in more)
