@@ -22,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,15 +91,18 @@ def held_out(key: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(True))
 
 
-def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
-    """Profiles of the languages named by rows that are not held out; rows without text or language teach nothing."""
+def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int | None = SAMPLE) -> Profiles:
+    """Profiles of the languages named by rows that are not held out; rows without text or language teach nothing.
+
+    About ``sample`` documents of each language teach, or all of them (None).
+    """
     known = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(key))
     sizes = {r["l"]: r["n"] for r in known.groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
     if not sizes:
         return Profiles([], [], np.zeros((0, 0), dtype=np.int32))
     share = F.lit(0.0)
     for name, n in sorted(sizes.items()):
-        share = F.when(F.col(lang) == name, min(1.0, sample / n)).otherwise(share)
+        share = F.when(F.col(lang) == name, 1.0 if sample is None else min(1.0, sample / n)).otherwise(share)
     drawn = F.pmod(F.xxhash64(F.lit("language"), key), F.lit(1 << 20)) / float(1 << 20) < share
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,8 +117,11 @@ def learn(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
                             [pa.array([name] * len(some), pa.string()), pa.array([size] * len(some), pa.int32()), pa.array(some), pa.array(n.astype(np.int64))],
                             ["lang", "size", "gram", "n"])
 
-    counted = known.where(drawn).select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(count, "lang string, size int, gram long, n long")
-    rows = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).where("n > 1").collect()  # bounded by the sample
+    taught = known if sample is None else known.where(drawn)
+    counted = taught.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(count, "lang string, size int, gram long, n long")
+    often = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).where("n > 1")
+    place = F.rank().over(Window.partitionBy("lang").orderBy(F.col("n").desc()))
+    rows = often.withColumn("place", place).where(F.col("place") <= PROFILE).collect()  # a profile a language, and ties with its last
     languages = sorted(sizes)
     best = {name: sorted(((r["n"], _spelled(r["gram"], r["size"])) for r in rows if r["lang"] == name), key=lambda x: (-x[0], x[1]))[:PROFILE] for name in languages}
     grams = sorted({g for own in best.values() for _, g in own})

@@ -146,3 +146,28 @@ def test_a_hot_id_does_not_fill_the_sample(spark, hot):
     assert 200 < len(out) < 600 and len({(r.key, r.hash, r.y) for r in out}) == len(out)
     assert all(zlib.crc32(str(r.key).encode()) % 5 for r in out)
     assert sum(r.key == 7 for r in out) <= (1 if hot == "equal" else 300)
+
+
+def test_all_labelled_rows_teach(spark, monkeypatch):
+    """Whatever their number and length, and though no task meets more than a few hundred of them."""
+    rows = toxic_rows(1800, 8)
+    rows = [(i, text + " x" * 40_000 if i % 300 == 1 else text, lang, y) for i, text, lang, y in rows]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    teach = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5}
+    seen = []
+    monkeypatch.setattr(toxicity, "labelled", lambda *a, **k: seen.append(sampling.labelled(*a, **k)) or seen[0])
+    monkeypatch.setattr(toxicity, "remove", lambda *frames: None)
+    model = toxicity.train(docs, labels, shard=600)
+    assert {r.key for r in seen[0].collect()} == teach and any(i % 300 == 1 for i in teach)
+    got = {r.doc_id: r.score for r in toxicity.score(docs.drop("lang"), model).collect()}
+    held = [r for r in rows if r[0] not in teach]
+    assert sum((got[i] >= 0.5) == (y == 1) for i, _, _, y in held) >= 0.97 * len(held)
+
+
+def test_counted_logits_have_the_threshold_of_their_rows():
+    rng = np.random.default_rng(4)
+    y = (rng.random(400) < 0.3).astype(int)
+    z, own = (rng.normal(size=400) + 2 * y).round(1), rng.random(400) < 0.4
+    rows, n = np.unique(np.stack([z, y, own], axis=1), axis=0, return_counts=True)
+    assert toxicity.threshold(rows[:, 0], rows[:, 1], rows[:, 2] == 1, n=n) == pytest.approx(toxicity.threshold(z, y, own))
