@@ -31,30 +31,68 @@ MOST_DIGITS = 38  # of a decimal
 STATE = "column string, n long, whole boolean, low decimal(38,0), high decimal(38,0), decimal boolean, before int, behind int, truth boolean, date boolean, time boolean"
 
 
-def _state(name: str) -> Column:
-    c = F.col(f"`{name}`")
-    digits = F.regexp_replace(c, "^-", "")
-    whole, decimal = c.rlike(WHOLE), c.rlike(DECIMAL)
-    number = F.when(whole & (F.length(digits) <= MOST_DIGITS), c.try_cast("decimal(38,0)"))
-    every = lambda holds: F.bool_and(F.when(c.isNotNull(), holds))
-    return F.struct(
-        F.lit(name).alias("column"), F.count(c).alias("n"),
-        every(whole & number.isNotNull()).alias("whole"), F.min(number).alias("low"), F.max(number).alias("high"),
-        every(decimal).alias("decimal"),
-        F.max(F.when(decimal, F.length(F.substring_index(digits, ".", 1)))).alias("before"),
-        F.max(F.when(decimal, F.when(c.contains("."), F.length(F.substring_index(digits, ".", -1))).otherwise(0))).alias("behind"),
-        every(F.lower(c).isin("true", "false")).alias("truth"),
-        every(c.rlike(DATE) & c.try_cast("date").isNotNull()).alias("date"),
-        every(c.rlike(TIME) & c.try_cast("timestamp").isNotNull()).alias("time"),
+# How a value is written, as a bit; a column's bits are or-ed.
+_WHOLE, _DECIMAL, _TRUTH, _DATE, _TIME, _TEXT = (1 << i for i in range(6))
+LONG_DIGITS = 18  # a long holds any whole number of so many digits
+
+
+def _kind(c: Column) -> Column:
+    """The bit of a value, NULL for NULL; a whole number beyond ``MOST_DIGITS`` counts as a decimal.
+
+    Patterns are tried one after the other, and only on values that start as a number.
+    """
+    fits = F.length(_digits(c)) <= MOST_DIGITS
+    return (
+        F.when(c.isNull(), F.lit(None).cast("int"))
+        .when(~F.substring(c, 1, 1).isin(*"-0123456789"), F.when(F.lower(c).isin("true", "false"), _TRUTH).otherwise(_TEXT))
+        .when(c.rlike(WHOLE), F.when(fits, _WHOLE).otherwise(_DECIMAL))
+        .when(c.rlike(DECIMAL), _DECIMAL)
+        .when(c.rlike(DATE), F.when(c.try_cast("date").isNotNull(), _DATE).otherwise(_TEXT))
+        .when(c.rlike(TIME), F.when(c.try_cast("timestamp").isNotNull(), _TIME).otherwise(_TEXT))
+        .otherwise(_TEXT)
     )
 
 
+def _digits(c: Column) -> Column:
+    return F.when(c.startswith("-"), F.substring(c, 2, 1 << 30)).otherwise(c)
+
+
+def _aggregates() -> list[Column]:
+    """What is aggregated over the ``_value`` and its ``_kind`` of one column."""
+    c, kind = F.col("_value"), F.col("_kind")
+    digits, short = _digits(c), F.length(c) <= LONG_DIGITS
+    number = kind.isin(_WHOLE, _DECIMAL)
+    small, large = F.when((kind == _WHOLE) & short, c.try_cast("long")), F.when((kind == _WHOLE) & ~short, c.try_cast("decimal(38,0)"))
+    behind = F.when(kind == _WHOLE, 0).when(kind == _DECIMAL, F.when(c.contains("."), F.length(F.substring_index(digits, ".", -1))).otherwise(0))
+    return [
+        F.count(c).alias("n"), F.bit_or(kind).alias("kinds"), F.min(small).alias("low"), F.max(small).alias("high"),
+        F.min(large).alias("low_large"), F.max(large).alias("high_large"),
+        F.max(F.when(number, F.length(F.substring_index(digits, ".", 1)))).alias("before"), F.max(behind).alias("behind"),
+    ]
+
+
+def _only(*bits: int) -> Column:
+    return F.col("kinds").bitwiseOR(F.lit(sum(bits))) == sum(bits)
+
+
 def column_states(raw: DataFrame) -> DataFrame:
-    """One row per column of an all-string table: its state, from one pass over the rows."""
+    """One row per column of an all-string table: its state, from one pass over the rows.
+
+    Values are aggregated by the place of their column, so the code that does it
+    is short, however many columns there are, and gets compiled.
+    """
     if not raw.columns:
         return raw.sparkSession.createDataFrame([], STATE)
-    states = raw.agg(*[_state(c).alias(f"s{i}") for i, c in enumerate(raw.columns)])
-    return states.select(F.explode(F.array(*states.columns)).alias("s")).select("s.*")
+    values = raw.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in raw.columns])).alias("_place", "_value"))
+    places = raw.sparkSession.range(len(raw.columns)).select(F.col("id").cast("int").alias("_place"), F.lit(None).cast("string").alias("_value"))
+    values = values.unionByName(places)  # a column of a table without rows has a state too
+    found = values.select("*", _kind(F.col("_value")).alias("_kind")).groupBy("_place").agg(*_aggregates())
+    name = F.element_at(F.array(*[F.lit(c) for c in raw.columns]), F.col("_place") + 1)
+    large = lambda c: F.col(c).cast("decimal(38,0)")
+    return found.select(
+        name.alias("column"), "n", _only(_WHOLE).alias("whole"),
+        F.least(large("low"), "low_large").alias("low"), F.greatest(large("high"), "high_large").alias("high"),
+        _only(_WHOLE, _DECIMAL).alias("decimal"), "before", "behind", _only(_TRUTH).alias("truth"), _only(_DATE).alias("date"), _only(_TIME).alias("time"))
 
 
 def merge_states(states: Sequence[DataFrame]) -> DataFrame:

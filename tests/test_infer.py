@@ -74,3 +74,19 @@ def test_one_pass(spark):
     assert plan.count("Exchange") == 1 and plan.count("Scan") == 1
     with pytest.raises(ValueError):
         read_csv_safe_inferred(spark, "/nowhere/at/all")
+
+
+def test_the_code_of_a_state_does_not_grow_with_the_columns(spark):
+    """Huge methods are not compiled; values are aggregated by the place of their column."""
+    sizes = []
+    for n in (2, 60):
+        raw = spark.createDataFrame([tuple("7" for _ in range(n))], ", ".join(f"c{i} string" for i in range(n)))
+        states = column_states(raw)
+        assert {t.simpleString() for t in types_of(states).values()} == {"int"} and states.count() == n
+        sizes.append(states._jdf.queryExecution().optimizedPlan().toString().count("RLIKE"))
+    assert sizes[0] == sizes[1]
+
+
+def test_an_empty_table_has_a_state_for_each_column(spark):
+    got = column_states(spark.createDataFrame([], "a string, b string")).collect()
+    assert sorted(tuple(r) for r in got) == [(c, 0, *[None] * 9) for c in "ab"]
