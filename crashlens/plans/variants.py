@@ -37,6 +37,7 @@ from crashlens.plans.analyses import (
     TWO_WHEELER_STYLES,
     VALID_LICENCES,
     VEHICLE,
+    _distinct,
     _fatal_with_make,
     _insured_severe_crashes,
     _killed_drivers_no_airbag,
@@ -78,7 +79,8 @@ def a05i_state_crashes_without_female(t: CrashTables, k: int = 1) -> DataFrame:
 
 def a06i_makes_injury_total_rank_3_5(t: CrashTables, lo: int = 3, hi: int = 5) -> DataFrame:
     """Makes ranked 3..5 by injuries + deaths summed over their distinct vehicle rows."""
-    units = with_total(t.distinct_units()).filter(F.col("VEH_MAKE_ID") != MAKE_NA)
+    units = _distinct(with_total(t.units), None if t.units_rows is None else with_total(t.units_rows),
+                      F.col("VEH_MAKE_ID") != MAKE_NA, ["VEH_MAKE_ID", TOTAL])
     totals = units.groupBy("VEH_MAKE_ID").agg(F.sum(TOTAL).cast("bigint").alias("total"))
     return rank_band(totals, "total", lo, hi).select("VEH_MAKE_ID", "total")
 

@@ -168,6 +168,7 @@ ORDERS_ROW_KEY = ["o_orderkey", "o_custkey"]
 LINEITEM_COLUMNS = ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
                     "l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING")
 ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING"
+ROWS_PER_TASK = 1 << 20  # source rows of a partition that `spread_to` deals out, about; what a task holds of them does not follow the input
 
 
 def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None):
@@ -176,7 +177,9 @@ def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None)
     The sources are read with their known column types, so no footer-reading
     job runs to infer a schema, and only the columns the rules use are read.
     ``spread_to`` hash-partitions the sources on their row keys first: for the
-    test folders, whose files are single row groups and so single splits. The
+    test folders, whose files are single row groups and so single splits. It
+    gives the least number of partitions: more rows than ``ROWS_PER_TASK`` for
+    each make more of them (the rows are counted from the files' footers). The
     hash includes columns the crash tables do not expose, so downstream plans
     keep their own exchanges. Nothing is cached.
     """
@@ -185,5 +188,6 @@ def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None)
     lineitem = spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet")
     if spread_to:
-        lineitem, orders = lineitem.repartition(spread_to, *LINEITEM_ROW_KEY), orders.repartition(spread_to, *ORDERS_ROW_KEY)
+        parts = [max(spread_to, -(-df.count() // ROWS_PER_TASK)) for df in (lineitem, orders)]
+        lineitem, orders = lineitem.repartition(parts[0], *LINEITEM_ROW_KEY), orders.repartition(parts[1], *ORDERS_ROW_KEY)
     return CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))

@@ -102,3 +102,29 @@ def test_staged_distinct_rows_give_the_same_answers(spark, tables):
     assert staged.units_rows is not None and staged.person_rows is not None
     for name, fn in {**ANALYSIS_FUNCTIONS, **VARIANT_FUNCTIONS}.items():
         assert sorted(map(tuple, fn(staged).collect())) == sorted(map(tuple, fn(tables).collect())), name
+
+
+def test_partitions_of_the_fixture_follow_the_rows(spark, monkeypatch):
+    from conftest import SF001
+    from crashlens.sources import fixture
+
+    few = fixture.load_fixture(spark, SF001, spread_to=2)
+    monkeypatch.setattr(fixture, "ROWS_PER_TASK", 500)
+    many = fixture.load_fixture(spark, SF001, spread_to=2)
+    assert few.units.rdd.getNumPartitions() == 2 and many.units.rdd.getNumPartitions() == -(-spark.read.parquet(f"{SF001}/lineitem.parquet").count() // 500)
+    assert sorted(map(str, few.damages.collect())) == sorted(map(str, many.damages.collect()))
+
+
+def test_copies_as_csv_are_packed_in_files_of_bounded_rows(spark, monkeypatch):
+    import glob
+
+    from conftest import SF001
+    from crashlens.plans import registry
+
+    paths = []
+    monkeypatch.setattr(registry, "scratch_path", lambda s, name, made=registry.scratch_path: paths.append(made(s, name)) or paths[-1])
+    monkeypatch.setitem(registry.COPY, "maxRecordsPerFile", 500)
+    for query in (registry.src_named_tables, registry.src_csv_safe_inferred):
+        assert query(spark, SF001).count() > 0
+    files = [f for p in paths for f in glob.glob(p.removeprefix("file:") + "/*.csv*")]
+    assert len(files) > 20 and all(f.endswith(".lz4") for f in files)
