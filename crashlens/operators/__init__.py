@@ -5,7 +5,7 @@ analysis stays one Catalyst plan.
 """
 
 from crashlens.operators.aggregates import count_distinct_per, count_groups_having, global_count
-from crashlens.operators.distinct import distinct_projection
+from crashlens.operators.distinct import Matched, distinct_projection, distinct_rows
 from crashlens.operators.joins import (
     counted_join,
     having_match,
@@ -31,7 +31,9 @@ __all__ = [
     "count_groups_having",
     "counted_join",
     "dense_rank_all",
+    "Matched",
     "distinct_projection",
+    "distinct_rows",
     "global_count",
     "having_match",
     "in_top_k",

@@ -2,17 +2,23 @@
 
 ``df.distinct().select(...)`` shuffles every column of every row, since the
 optimizer may not prune below a distinct. :func:`distinct_projection` shuffles
-the needed columns and fingerprints of the row instead.
+the needed columns and fingerprints of the row instead. :func:`distinct_rows`
+keeps every column, but shuffles only the rows that may have a copy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlens.operators.joins import having_match
+
+#: Bits of the map of hashes that occur more than once, in words of 64: a broadcast of half a million rows at most.
+BITS = 1 << 25
 #: Column types whose values the fingerprints tell apart exactly as ``distinct`` does.
 _PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -43,7 +49,22 @@ def row_check(values: Sequence[Column]) -> Column:
     return F.xxhash64(F.lit("check"), *reversed(values))
 
 
-def distinct_projection(df: DataFrame, keep: Sequence[str | Column],
+@dataclass(frozen=True)
+class Matched:
+    """The rows of a table that have a partner in ``other`` by ``keys``, not yet joined."""
+
+    rows: DataFrame
+    other: DataFrame
+    keys: Sequence[str]
+
+    def joined(self) -> DataFrame:
+        return having_match(self.rows, self.other, self.keys)
+
+    def distinct(self) -> DataFrame:
+        return self.joined().distinct()
+
+
+def distinct_projection(df: DataFrame | Matched, keep: Sequence[str | Column],
                         fingerprint: Callable[[Sequence[Column]], tuple[Column, Column]] = row_fingerprint) -> DataFrame:
     """``df.distinct().select(*keep)`` by late materialisation: same rows, as a bag.
 
@@ -58,16 +79,23 @@ def distinct_projection(df: DataFrame, keep: Sequence[str | Column],
     The grouping hashes on everything kept and on the fingerprint, so a hot key
     with many distinct rows is spread over all tasks. Tables with nested
     columns, which these hashes need not tell apart as ``distinct`` does, are
-    made distinct as whole rows.
+    made distinct as whole rows. Of ``Matched`` rows, whose keys must be kept, the
+    narrow ones are joined.
     """
+    matched = df if isinstance(df, Matched) else None
+    df = matched.rows if matched else df
     columns = [F.col(c) if isinstance(c, str) else c for c in keep]
     if not df.columns or not all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
-        return df.distinct().select(*columns)
+        return (matched or df).distinct().select(*columns)
     names = df.select(*columns).columns
     values = _comparable(df)
     first, second = fingerprint(values)
     marks = [first.alias("_fp1"), second.alias("_fp2")]
     narrow = df.select(*columns, *marks, row_check(values).alias("_check"))
+    if matched:
+        if not set(matched.keys) <= {c for c in keep if isinstance(c, str)}:
+            raise ValueError(f"keys {list(matched.keys)} are not all kept")
+        narrow = having_match(narrow, matched.other, matched.keys)  # what is doubted below has a partner too, as its keys are kept
     grouped = narrow.groupBy(*(F.col(f"`{c}`") for c in names), "_fp1", "_fp2").agg(F.min("_check").alias("_low"), F.max("_check").alias("_high"))
     proven = grouped.where(F.col("_low") == F.col("_high")).select(*(F.col(f"`{c}`") for c in names))
     kept = [f"_kept{i}" for i in range(len(names))]
@@ -79,3 +107,28 @@ def distinct_projection(df: DataFrame, keep: Sequence[str | Column],
         same &= c.eqNullSafe(F.col(k))
     again = marked.join(F.broadcast(doubted), same, "left_semi").drop("_fp1", "_fp2").distinct().select(*columns)
     return proven.unionByName(again)
+
+
+def distinct_rows(df: DataFrame, bits: int = BITS) -> DataFrame:
+    """``df.distinct()``, for a table that can be read again cheaply and whose rows mostly occur once.
+
+    A row whose 64-bit hash no other row has is distinct as it stands. Hashes
+    are counted as narrow rows; those that occur more than once set a bit in a
+    map of ``bits`` bits, which every task gets. Rows whose bit is not set stay in
+    their task, and only the others are shuffled and made distinct as whole rows.
+    Equal rows have equal hashes, so a bit set for other rows too costs
+    time, never a row; a map with all bits set makes this a plain ``distinct``.
+    """
+    if not df.columns or not all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
+        return df.distinct()
+    hash_of = F.xxhash64(F.lit("row"), *_comparable(df))
+    often = df.select(hash_of.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    place = F.pmod(F.col("_hash"), F.lit(bits))
+    word, bit = F.shiftright(place, 6), F.expr(f"shiftleft(1L, CAST(pmod(_hash, {min(bits, 64)}) AS INT))")
+    words = often.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))  # bits / 64 rows at most
+    marked = df.withColumn("_hash", hash_of)
+    marked = marked.join(F.broadcast(words), word == F.col("_word"), "left")
+    doubted = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    plain = [c.alias(f.name) for c, f in zip(_comparable(df)[1:], df.schema.fields)]  # distinct gives 0.0 for -0.0
+    return marked.where(~doubted).select(*plain).unionByName(marked.where(doubted).select(*columns).distinct())

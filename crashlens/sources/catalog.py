@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlens.operators.distinct import distinct_rows
 from crashlens.session import remove_path, scratch_path
 from crashlens.sources.csv_load import read_csv_mixed
 from crashlens.sources.schemas import REQUIRED_COLUMNS, TABLE_TYPES
@@ -121,8 +122,8 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
     partitions first, for a source that arrives as few splits (one gzip
     CSV); Spark sorts before that, so a retried task rebuilds the same
     partitions. ``with_distinct`` also stages the distinct whole rows of
-    ``units`` and ``person``: one all-column shuffle each, instead of one per
-    analysis that deduplicates. ``announce`` is told each folder before it is
+    ``units`` and ``person``: one shuffle each of the rows' hashes and of the
+    rows that may have copies, instead of one per analysis that deduplicates. ``announce`` is told each folder before it is
     written. :func:`unstage` deletes what was written.
     """
     paths: list[str] = list(tables.staged_paths)
@@ -146,7 +147,7 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
         if base:
             frames = write_all({name: df.repartition(spread_to) if spread_to else df for name, df in frames.items()})
         if with_distinct:
-            frames = frames | write_all({"person_rows": frames["person"].distinct(), "units_rows": frames["units"].distinct()})
+            frames = frames | write_all({"person_rows": distinct_rows(frames["person"]), "units_rows": distinct_rows(frames["units"])})
     except BaseException:
         for path in paths[len(tables.staged_paths):]:
             remove_path(spark, path)

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from crashlens.operators import distinct_projection
+from crashlens.operators.distinct import Matched, distinct_rows, row_fingerprint
 from crashlens.plans import analyses as A
+from crashlens.plans import variants as V
 from crashlens.sources.catalog import CrashTables
 
 
@@ -95,3 +97,33 @@ def test_the_second_branch_is_not_run(tables):
     assert "isFinalPlan=true" in final and final.count("Scan parquet") >= 1
     first = final.split("== Initial Plan ==")[0]
     assert "LeftSemi" not in first  # no doubted fingerprint, so nothing is read again
+
+
+@pytest.mark.parametrize("bits", [1, 64, 1 << 20])
+def test_distinct_rows_equal_distinct_however_many_bits_are_set(odd_rows, bits):
+    assert bag(distinct_rows(odd_rows, bits)) == bag(odd_rows.distinct())
+    nested = odd_rows.select("k", F.array("a").alias("n"))
+    assert bag(distinct_rows(nested)) == bag(nested.distinct())
+
+
+def test_only_rows_that_may_have_copies_are_shuffled_whole(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("row"), *[F.sha2(F.concat_ws("-", F.lit(i), "id"), 256).alias(f"c{i}") for i in range(4)])
+    wide, whole = shuffled(spark, distinct_rows(rows)), shuffled(spark, rows.distinct())
+    assert wide < 0.2 * whole
+
+
+@pytest.mark.parametrize("keep", [["k"], ["k", "a"]])
+def test_a_projection_of_matched_rows_is_that_of_a_semi_join(spark, odd_rows, keep):
+    other = spark.createDataFrame([(2, "x"), (4, "x"), (4, "y"), (None, "x")], "k int, v string")
+    for fingerprint in (row_fingerprint, few_marks):
+        got = distinct_projection(Matched(odd_rows, other, ["k"]), keep, fingerprint)
+        assert bag(got) == bag(odd_rows.join(other, "k", "left_semi").distinct().select(*keep))
+    with pytest.raises(ValueError, match="not all kept"):
+        distinct_projection(Matched(odd_rows, other, ["k"]), ["a"])
+
+
+def test_injury_totals_shuffle_narrow_rows(spark, tables):
+    t = CrashTables(person=tables.person, units=wide(tables.units), damages=tables.damages)
+    direct = CrashTables(person=tables.person, units=t.units, damages=tables.damages, units_rows=t.units.distinct())
+    assert bag(V.a06i_makes_injury_total_rank_3_5(t)) == bag(V.a06i_makes_injury_total_rank_3_5(direct))
+    assert shuffled(spark, V.a06i_makes_injury_total_rank_3_5(t)) < shuffled(spark, V.a06i_makes_injury_total_rank_3_5(direct)) / 4
