@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from crashlens.functions import any_of, first_int, is_true, not_in
 from crashlens.operators import (
+    Matched,
     Tag,
     best_k,
     count_groups_having,
@@ -212,17 +213,17 @@ def _alcohol_flags(t: CrashTables) -> tuple[DataFrame, DataFrame]:
     person_flag = is_true(F.col("PRSN_ALC_RSLT_ID") == ALCOHOL_POSITIVE)
     with_zip = t.person.filter(F.col("DRVR_ZIP").isNotNull())
     # Only vehicles with a sign on either side can count: keys from narrow scans,
-    # semi-joined below the wide distincts (both depend on the row only).
+    # semi-joined to the narrow rows of the distincts (both depend on the row only).
     keys = t.units.filter(unit_flag).select(*VEHICLE).unionByName(with_zip.filter(person_flag).select(*VEHICLE))
     units_kept, people_kept = [*VEHICLE, unit_flag.alias("_u_alc")], [*VEHICLE, "DRVR_ZIP", person_flag.alias("_p_alc")]
     if t.units_rows is not None:
         units = t.units_rows.select(*units_kept)
     else:
-        units = distinct_projection(having_match(t.units, keys, VEHICLE), units_kept)
+        units = distinct_projection(Matched(t.units, keys, VEHICLE), units_kept)
     if t.person_rows is not None:
         people = t.person_rows.filter(F.col("DRVR_ZIP").isNotNull()).select(*people_kept)
     else:
-        people = distinct_projection(having_match(with_zip, keys, VEHICLE), people_kept)
+        people = distinct_projection(Matched(with_zip, keys, VEHICLE), people_kept)
     return units, people
 
 
@@ -275,9 +276,8 @@ def _speeding_units_in_top_sets(t: CrashTables, colours: int = 10, states: int =
 def a10_speeding_makes_top_colour_state(t: CrashTables, k: int = 5, with_counts: bool = False) -> DataFrame:
     """Top makes by rows of (distinct licensed persons ⋈ speeding top-colour/state vehicles)."""
     speeding = _speeding_units_in_top_sets(t)
-    people = t.person if t.person_rows is None else t.person_rows
-    # The semi join depends on the row only, so it may go below the wide distinct.
-    licensed = having_match(people.filter(F.col("DRVR_LIC_TYPE_ID").isin(VALID_LICENCES)), speeding, VEHICLE)
-    licensed = distinct_projection(licensed, VEHICLE) if t.person_rows is None else licensed
+    # The semi join depends on the row only, so it may go below the distinct.
+    licensed = Matched((t.person if t.person_rows is None else t.person_rows).filter(_licensed()), speeding, VEHICLE)
+    licensed = distinct_projection(licensed, VEHICLE) if t.person_rows is None else licensed.joined()
     counts = join_count(licensed, speeding, VEHICLE, by_right=["VEH_MAKE_ID"])
     return best_k(counts, "n", "VEH_MAKE_ID", k, keep_measure=with_counts)

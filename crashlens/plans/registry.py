@@ -72,6 +72,10 @@ VARIANT_QUERIES: dict[str, Query] = {name: _on_fixture(fn) for name, fn in VARIA
 PART_TYPES = {"p_partkey": T.LongType(), "p_size": T.IntegerType(), "p_retailprice": T.DoubleType()}
 
 
+# How CSV copies of the crash tables are written: packed, in files of a bounded number of rows, as a packed file is one split.
+COPY = {"header": True, "compression": "lz4", "maxRecordsPerFile": 1 << 20}
+
+
 def src_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` through a headed CSV and back, typed by column name."""
     path = scratch_path(spark, "part-csv")
@@ -89,7 +93,7 @@ def src_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_csv_safe_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons through a headed CSV and back with inferred types: zips keep their zeros, counts become numbers."""
     path = scratch_path(spark, "persons-csv")
-    _fixture(spark, sf_dir).person.write.option("header", True).csv(path)
+    _fixture(spark, sf_dir).person.write.options(**COPY).csv(path)
     return read_csv_safe_inferred(spark, path).select("UNIT_NBR", "DRVR_ZIP", "DEATH_CNT", "PRSN_GNDR_ID")
 
 
@@ -150,7 +154,7 @@ def src_stage_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, df in fixture.items():
             paths.setdefault(name, scratch_path(spark, f"{name}-csv"))
             part = df.filter((F.col("CRASH_ID") % 5 == 0) == F.lit(late))
-            part.write.mode("append").option("header", True).csv(paths[name])
+            part.write.mode("append").options(**COPY).csv(paths[name])
         tables, _ = load_tables(store, paths)
     return A.a08_zips_alcohol(tables, with_counts=True)
 
@@ -159,7 +163,7 @@ def src_named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three crash tables as CSV folders, read by name, answering A08 with counts."""
     paths = {name: scratch_path(spark, f"{name}-csv") for name in ("person", "units", "damages")}
     for name, df in _fixture(spark, sf_dir).as_dict().items():
-        df.write.option("header", True).csv(paths[name])
+        df.write.options(**COPY).csv(paths[name])
     return A.a08_zips_alcohol(read_tables(spark, paths), with_counts=True)
 
 
