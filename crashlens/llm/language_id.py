@@ -34,6 +34,7 @@ RANKED = 300  # n-grams of a document
 LENGTHS = (1, 2, 3)
 UNKNOWN = "und"
 SLICE = 1 << 19  # bytes of text ranked at once
+NEAR_SLICE = 1 << 17  # the same where only the nearest language is asked for: arrays that stay in a core's cache
 _POINT = 21  # bits of a code point
 
 
@@ -142,6 +143,17 @@ def _spelled(code: int, size: int) -> str:
     return "".join(chr(c) if c else " " for c in reversed(out))
 
 
+def _often_first(text: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The order by ``text``, then by ``seen`` from the most on; equals stay as they are."""
+    most, n = int(seen.max(initial=0)), max(len(seen), 1)
+    if int(text.max(initial=0)).bit_length() + most.bit_length() + n.bit_length() > 62:
+        return np.lexsort((-seen, text))
+    # One number for each: sorting numbers is several times faster than sorting by two keys.
+    key = (((text << most.bit_length()) | (most - seen)) << n.bit_length()) | np.arange(len(seen))
+    key.sort()
+    return key & ((1 << n.bit_length()) - 1)
+
+
 class _Ranker:
     """Distances of documents to profiles."""
 
@@ -163,29 +175,36 @@ class _Ranker:
         """
         points, owner, count = letters(texts)
         rows, width = len(texts), max(LENGTHS)
-        symbols = np.union1d(np.zeros(1, dtype=np.int64), points)
+        there = np.zeros(int(points.max(initial=0)) + 1, dtype=bool)
+        there[0] = there[points] = True
+        symbols = np.flatnonzero(there)
         bits = (len(symbols) + 1).bit_length()
         if rows > 1 and rows.bit_length() + width * bits > 62:
             parts = [self.distances(x) for x in (texts.slice(0, rows // 2), texts.slice(rows // 2))]
             return tuple(np.concatenate(x) for x in zip(*parts))
-        digits, keys = np.searchsorted(symbols, points) + 1, []
+        digits, keys = np.cumsum(there)[points], []
+        mark, high = digits == 1, owner << width * bits
+        shifted = [digits << (width - 1 - i) * bits for i in range(width)]
         for n in LENGTHS:
             size = max(len(points) - n + 1, 0)
-            code = owner[:size] << width * bits
+            code = high[:size].copy()
             ok = owner[:size] == owner[len(owner) - size :]
             for i in range(n):
-                part = digits[i : i + size]
-                code = code | part << (width - 1 - i) * bits
+                code |= shifted[i][i : i + size]
                 if 0 < i < n - 1 or n == 1:
-                    ok &= part != 1
+                    ok &= ~mark[i : i + size]
             if n == 2:
-                ok &= (digits[:size] != 1) | (digits[1 : size + 1] != 1)
+                ok &= ~(mark[:size] & mark[1 : size + 1])
             keys.append(code[ok])
-        gram, seen = np.unique(np.concatenate(keys), return_counts=True)
+        gram = np.concatenate(keys)
+        gram.sort()
+        new = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])[: len(gram)])
+        gram, seen = gram[new], np.diff(new, append=len(gram))
         text = gram >> width * bits
-        order = np.lexsort((-seen, text))  # stable: spelling decides between equals
+        order = _often_first(text, seen)
         gram, text = gram[order] & (1 << width * bits) - 1, text[order]
-        place = np.arange(len(text)) - np.searchsorted(text, text)
+        own = np.bincount(text, minlength=rows)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(own) - own, own)
         top = place < RANKED
         gram, text, place = gram[top], text[top], place[top]
         # The profiles' n-grams in this slice's digits; those with a letter that it lacks do not occur.
@@ -212,8 +231,11 @@ def nearest(profiles: Profiles) -> Callable[[pa.Array], np.ndarray]:
     ranker = _Ranker(profiles)
 
     def find(texts: pa.Array) -> np.ndarray:
-        far, _, count = ranker.distances(texts)
-        return np.where(count > 0, far.argmin(axis=1), -1)
+        found = [np.zeros(0, dtype=np.int64)]
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", NEAR_SLICE):
+            far, _, count = ranker.distances(part.column("text"))
+            found.append(np.where(count > 0, far.argmin(axis=1), -1))
+        return np.concatenate(found)
 
     return find
 

@@ -100,15 +100,19 @@ def _size(parts: np.ndarray) -> np.ndarray:
 
 
 def _embedded(vectors: np.ndarray, parts: np.ndarray) -> np.ndarray:
-    return vectors[parts].sum(axis=1) / _size(parts)
+    out = vectors.take(parts[:, 0], axis=0)
+    for i in range(1, parts.shape[1]):
+        out += vectors.take(parts[:, i], axis=0)
+    out /= _size(parts)
+    return out
 
 
 def _responses(filters: list[np.ndarray], embedded: np.ndarray, word: np.ndarray) -> Iterator[np.ndarray]:
     """For each width the response of its filters at each place; those of a text's last ``_PAD - 1`` places are of no use."""
     for f in filters:
-        out = (embedded @ f[0])[word]
+        out = (embedded @ f[0]).take(word, axis=0)
         for offset in range(1, len(f)):
-            out[:-offset] += (embedded @ f[offset])[word[offset:]]
+            out[:-offset] += (embedded @ f[offset]).take(word[offset:], axis=0)
         yield out
 
 
@@ -185,6 +189,7 @@ def _met(state: State, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray,
     """
     weights, means, squares = ([w.copy() for w in some] for some in state[:3])
     step, seen_docs = state.step, 0
+    spare = [(np.empty_like(w), np.empty_like(w)) for w in weights]
     for some in _batches(docs, rng.permutation(len(docs)), batch):
         step += 1
         seen_docs += len(some)
@@ -208,25 +213,44 @@ def _met(state: State, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray,
         d = (p - own) * np.where(own == 1, 0.5 / share, 0.5 / (1 - share)) / len(some)
         dz = np.outer(d, out_w) * (1 - a**2) * (z > 0)
         d_embedded = np.zeros_like(embedded)
+        reached = np.zeros(len(parts), dtype=bool)
         d_filters = []
         for i, f in enumerate(filters):
             g = dz[:, i * FILTERS : (i + 1) * FILTERS]
             df = np.zeros_like(f)
             for offset in range(len(f)):
                 seen = word[best[i] + offset]
+                reached[seen] = True
                 df[offset] = np.einsum("bf,bfd->df", g, embedded[seen])
                 np.add.at(d_embedded, seen, g[:, :, None] * f[offset].T[None])
             d_filters.append(df)
-        touched = np.flatnonzero(d_embedded.any(axis=1) & ~gone)
+        touched = np.flatnonzero(reached & ~gone)
+        touched = touched[d_embedded[touched].any(axis=1)]
         d_vectors = np.zeros_like(vectors)
-        np.add.at(d_vectors, parts[touched], (d_embedded[touched] / _size(parts[touched]))[:, None, :])
+        # One flat index for each number: numpy adds those up several times faster than rows.
+        of = parts[touched].astype(np.intp)
+        flat = (of[:, :, None] * DIM + np.arange(DIM)).ravel()
+        np.add.at(d_vectors.reshape(-1), flat, np.repeat(d_embedded[touched] / _size(of), of.shape[1], axis=0).ravel())
         grads = [d_vectors, *d_filters, dz.sum(0), a.T @ d, np.array([d.sum()])]
         now = rate * min(1.0, 2 * (1 - min(1.0, begin + (end - begin) * seen_docs / len(docs)) * 0.999))
-        for w, g, m, s in zip(weights, grads, means, squares):
-            g = g.astype(np.float32) + decay * w
-            m += 0.1 * (g - m)
-            s += 0.001 * (g * g - s)
-            w -= now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-7)
+        for w, g, m, s, (t, u) in zip(weights, grads, means, squares, spare):
+            # In place, as the vectors are many: g + decay w, the moments' moves, and their quotient.
+            g = g.astype(np.float32, copy=False)
+            g += np.multiply(w, decay, out=t)
+            np.subtract(g, m, out=t)
+            t *= 0.1
+            m += t
+            np.multiply(g, g, out=t)
+            t -= s
+            t *= 0.001
+            s += t
+            np.divide(m, 1 - 0.9**step, out=t)
+            t *= now
+            np.divide(s, 1 - 0.999**step, out=u)
+            np.sqrt(u, out=u)
+            u += 1e-7
+            t /= u
+            w -= t
         weights[0][_NONE] = 0
     return State(weights, means, squares, step)
 

@@ -171,3 +171,45 @@ def test_counted_logits_have_the_threshold_of_their_rows():
     z, own = (rng.normal(size=400) + 2 * y).round(1), rng.random(400) < 0.4
     rows, n = np.unique(np.stack([z, y, own], axis=1), axis=0, return_counts=True)
     assert toxicity.threshold(rows[:, 0], rows[:, 1], rows[:, 2] == 1, n=n) == pytest.approx(toxicity.threshold(z, y, own))
+
+
+def test_nearest_language_ranks_short_runs_of_texts(monkeypatch):
+    profiles = language_id.Profiles(["a", "b"], ["ab", "cd"], np.array([[0, 1600], [1600, 0]], dtype=np.int32))
+    texts = pa.array([x * 700 for x in ("ab ", "cd ", "12 ", "AB x ")] * 150 + [None, "", "cd " * 100_000])
+    far, _, count = language_id._Ranker(profiles).distances(texts)
+    expected = np.where(count > 0, far.argmin(axis=1), -1).tolist()
+    sizes, plain = [], language_id._Ranker.distances
+    monkeypatch.setattr(language_id._Ranker, "distances", lambda self, x: sizes.append((len(x), x.nbytes)) or plain(self, x))
+    assert language_id.nearest(profiles)(texts).tolist() == expected
+    assert max(size for n, size in sizes if n > 1) < 1 << 18
+    assert language_id.nearest(profiles)(texts.slice(0, 0)).tolist() == []
+
+
+def test_n_grams_are_ordered_as_by_two_keys():
+    rng = np.random.default_rng(5)
+    for most, texts in ((9, 4), (1 << 40, 1 << 20)):  # the second has too many bits for one number
+        seen, text = rng.integers(1, most, 3000), np.sort(rng.integers(0, texts, 3000))
+        assert language_id._often_first(text, seen).tolist() == np.lexsort((-seen, text)).tolist()
+
+
+def test_a_step_adds_up_what_each_vector_gets():
+    """The first step moves every weight by the rate against its gradient's sign; a vector shared by words gets all of theirs."""
+    docs = [toxicity.hashed_words(pa.array([t]))[:2] for t in ("poison poisons poisoned", "poisoning clean day", "clean days daily")]
+    state = toxicity._start(np.random.default_rng(1))
+    met = toxicity._met(state, docs, np.array([1.0, 1.0, 0.0]), np.random.default_rng(2), 0.5, 0.0, 0.0, decay=0.0, dropped=0.0)
+
+    def loss(vectors):
+        model = toxicity.Model(vectors, state.weights[1:-3], state.weights[-3], state.weights[-2], float(state.weights[-1][0]), NO_LANGUAGES, np.zeros(1))
+        p = 1 / (1 + np.exp(-toxicity.logits(model, pa.array(["poison poisons poisoned", "poisoning clean day", "clean days daily"])).astype(float)))
+        return -(np.log(p[0]) + np.log(p[1]) + np.log(1 - p[2])) / 3
+
+    used = np.unique(np.concatenate([d[0].ravel() for d in docs]))
+    used = used[used != 1 << toxicity.BITS]
+    for v in used[:6]:
+        for c in (0, 7):
+            up, down = (state.weights[0].astype(float) for _ in range(2))
+            up[v, c] += 1e-5
+            down[v, c] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            if abs(slope) > 1e-4:
+                assert met.means[0][v, c] == pytest.approx(0.1 * slope, rel=0.02)
