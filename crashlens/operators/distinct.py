@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,25 +24,27 @@ BITS = 1 << 25
 _PLAIN = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _comparable(df: DataFrame) -> list[Column]:
-    """The columns of ``df`` in a form in which equal values have equal bytes, and which of them are NULL.
-
-    Spark's hash skips NULLs, so their places are hashed too; -0.0 equals 0.0,
-    and every NaN equals every other.
-    """
+def _values(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` in a form in which equal values have equal bytes: -0.0 equals 0.0, and every NaN every other."""
     values = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             c = F.when(F.isnan(c), F.lit(float("nan")).cast(field.dataType)).otherwise(c + F.lit(0.0).cast(field.dataType))
         values.append(c)
-    nulls = F.concat(*[F.when(F.col(f"`{f.name}`").isNull(), "1").otherwise("0") for f in df.schema.fields])
-    return [nulls, *values]
+    return values
 
 
-def row_fingerprint(values: Sequence[Column]) -> tuple[Column, Column]:
-    """128 bits of a row: two hash chains over its values."""
-    return F.xxhash64(F.lit("first"), *values), F.xxhash64(F.lit("second"), *values)
+def _comparable(df: DataFrame) -> list[Column]:
+    """The values of ``df``, and which of them are NULL: Spark's hash skips NULLs, so their places are hashed too, as bits of numbers."""
+    bits = [F.when(F.col(f"`{f.name}`").isNull(), F.lit(1 << i % 62).cast("long")).otherwise(F.lit(0).cast("long"))
+            for i, f in enumerate(df.schema.fields)]
+    return [*(reduce(Column.bitwiseOR, bits[i:i + 62]) for i in range(0, len(bits), 62)), *_values(df)]
+
+
+def row_fingerprint(values: Sequence[Column]) -> tuple[Column, ...]:
+    """64 bits of a row: a hash chain over its values."""
+    return (F.xxhash64(F.lit("first"), *values),)
 
 
 def row_check(values: Sequence[Column]) -> Column:
@@ -65,16 +68,18 @@ class Matched:
 
 
 def distinct_projection(df: DataFrame | Matched, keep: Sequence[str | Column],
-                        fingerprint: Callable[[Sequence[Column]], tuple[Column, Column]] = row_fingerprint) -> DataFrame:
+                        fingerprint: Callable[[Sequence[Column]], tuple[Column, ...]] = row_fingerprint) -> DataFrame:
     """``df.distinct().select(*keep)`` by late materialisation: same rows, as a bag.
 
     ``keep`` are columns of ``df`` or named expressions over them. What is shuffled for a row is ``keep``, its
-    128-bit fingerprint and the smallest and largest check value of its group;
+    64-bit fingerprint and the smallest and largest check value of its group;
     rows of a group are equal copies and collapse map-side. A group whose check
     values differ holds different rows under one fingerprint; only its rows
-    are read again and made distinct as whole rows. Such groups are not
-    expected at any size (10^13 rows give 10^-13 of them), so their broadcast is
-    empty, and adaptive execution drops the second branch before it scans.
+    are read again and made distinct as whole rows. Such groups are rare (10^9
+    rows of equal ``keep`` give 0.03 of them, different ``keep`` none), so their
+    broadcast is empty, and adaptive execution drops the second branch before it
+    scans. Different rows of equal ``keep`` are taken for copies if both of their
+    64-bit values agree: 10^13 of them give 10^-13 such pairs.
 
     The grouping hashes on everything kept and on the fingerprint, so a hot key
     with many distinct rows is spread over all tasks. Tables with nested
@@ -85,27 +90,27 @@ def distinct_projection(df: DataFrame | Matched, keep: Sequence[str | Column],
     matched = df if isinstance(df, Matched) else None
     df = matched.rows if matched else df
     columns = [F.col(c) if isinstance(c, str) else c for c in keep]
-    if not df.columns or not all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
+    if not plain(df):
         return (matched or df).distinct().select(*columns)
     names = df.select(*columns).columns
     values = _comparable(df)
-    first, second = fingerprint(values)
-    marks = [first.alias("_fp1"), second.alias("_fp2")]
+    marks = [mark.alias(f"_fp{i}") for i, mark in enumerate(fingerprint(values))]
+    fps = [f"_fp{i}" for i in range(len(marks))]
     narrow = df.select(*columns, *marks, row_check(values).alias("_check"))
     if matched:
         if not set(matched.keys) <= {c for c in keep if isinstance(c, str)}:
             raise ValueError(f"keys {list(matched.keys)} are not all kept")
         narrow = having_match(narrow, matched.other, matched.keys)  # what is doubted below has a partner too, as its keys are kept
-    grouped = narrow.groupBy(*(F.col(f"`{c}`") for c in names), "_fp1", "_fp2").agg(F.min("_check").alias("_low"), F.max("_check").alias("_high"))
+    grouped = narrow.groupBy(*(F.col(f"`{c}`") for c in names), *fps).agg(F.min("_check").alias("_low"), F.max("_check").alias("_high"))
     proven = grouped.where(F.col("_low") == F.col("_high")).select(*(F.col(f"`{c}`") for c in names))
     kept = [f"_kept{i}" for i in range(len(names))]
     doubted = grouped.where(F.col("_low") != F.col("_high")).select(
-        *(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), F.col("_fp1").alias("_d1"), F.col("_fp2").alias("_d2"))
+        *(F.col(f"`{c}`").alias(k) for c, k in zip(names, kept)), *(F.col(fp).alias(f"_d{fp}") for fp in fps))
     marked = df.select("*", *marks)
-    same = (F.col("_fp1") == F.col("_d1")) & (F.col("_fp2") == F.col("_d2"))
+    same = reduce(Column.__and__, [F.col(fp) == F.col(f"_d{fp}") for fp in fps])
     for c, k in zip(columns, kept):
         same &= c.eqNullSafe(F.col(k))
-    again = marked.join(F.broadcast(doubted), same, "left_semi").drop("_fp1", "_fp2").distinct().select(*columns)
+    again = marked.join(F.broadcast(doubted), same, "left_semi").drop(*fps).distinct().select(*columns)
     return proven.unionByName(again)
 
 
@@ -119,16 +124,44 @@ def distinct_rows(df: DataFrame, bits: int = BITS) -> DataFrame:
     Equal rows have equal hashes, so a bit set for other rows too costs
     time, never a row; a map with all bits set makes this a plain ``distinct``.
     """
-    if not df.columns or not all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields):
+    if not plain(df):
         return df.distinct()
-    hash_of = F.xxhash64(F.lit("row"), *_comparable(df))
-    often = df.select(hash_of.alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    place = F.pmod(F.col("_hash"), F.lit(bits))
-    word, bit = F.shiftright(place, 6), F.expr(f"shiftleft(1L, CAST(pmod(_hash, {min(bits, 64)}) AS INT))")
-    words = often.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))  # bits / 64 rows at most
-    marked = df.withColumn("_hash", hash_of)
-    marked = marked.join(F.broadcast(words), word == F.col("_word"), "left")
+    hashed = df.withColumn(ROW_HASH, row_hash(df))
+    once, doubted = by_copies(hashed, copies_map(hashed, bits), bits)
+    return once.unionByName(doubted.distinct())
+
+
+#: Name of the column with a row's hash.
+ROW_HASH = "_row_hash"
+
+
+def plain(df: DataFrame) -> bool:
+    """Whether the hash tells rows of ``df`` apart as ``distinct`` does."""
+    return bool(df.columns) and all(isinstance(f.dataType, _PLAIN) for f in df.schema.fields)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64 bits of a row, equal for equal rows."""
+    return F.xxhash64(F.lit("row"), *_comparable(df))
+
+
+def copies_map(hashed: DataFrame, bits: int = BITS) -> DataFrame:
+    """``(_word, _bits)``: the map of hashes that occur more than once, ``bits`` / 64 rows at most; only ``ROW_HASH`` is read."""
+    often = hashed.select(ROW_HASH).groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    place, bit = _bit(bits)
+    return often.groupBy(F.shiftright(place, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def _bit(bits: int) -> tuple[Column, Column]:
+    return F.pmod(F.col(ROW_HASH), F.lit(bits)), F.expr(f"shiftleft(1L, CAST(pmod({ROW_HASH}, {min(bits, 64)}) AS INT))")
+
+
+def by_copies(hashed: DataFrame, words: DataFrame, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows that occur once (values as ``distinct`` gives them) and those that may have copies, by a ``copies_map``; without ``ROW_HASH``."""
+    rows = hashed.drop(ROW_HASH)
+    place, bit = _bit(bits)
+    marked = hashed.join(F.broadcast(words), F.shiftright(place, 6) == F.col("_word"), "left")
     doubted = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    plain = [c.alias(f.name) for c, f in zip(_comparable(df)[1:], df.schema.fields)]  # distinct gives 0.0 for -0.0
-    return marked.where(~doubted).select(*plain).unionByName(marked.where(doubted).select(*columns).distinct())
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    values = [c.alias(f.name) for c, f in zip(_values(rows), rows.schema.fields)]  # distinct gives 0.0 for -0.0
+    return marked.where(~doubted).select(*values), marked.where(doubted).select(*columns)

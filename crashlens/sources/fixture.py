@@ -171,7 +171,14 @@ ORDERS_COLUMNS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING"
 ROWS_PER_TASK = 1 << 20  # source rows of a partition that `spread_to` deals out, about; what a task holds of them does not follow the input
 
 
-def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None):
+def _in_even_splits(df: DataFrame, tasks: int) -> bool:
+    """Whether ``tasks`` tasks share the rows of a source as it is split: none has more than two even shares (counted from the footers)."""
+    splits = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    largest, rows = splits.agg(F.max("n"), F.sum("n")).first()
+    return bool(rows) and largest * tasks <= 2 * rows and (tasks == 1 or largest < rows)
+
+
+def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None, streamed: bool = False):
     """The three crash tables for one scale-factor folder of the test data.
 
     The sources are read with their known column types, so no footer-reading
@@ -181,13 +188,19 @@ def load_fixture(spark: SparkSession, sf_dir: str, spread_to: int | None = None)
     gives the least number of partitions: more rows than ``ROWS_PER_TASK`` for
     each make more of them (the rows are counted from the files' footers). The
     hash includes columns the crash tables do not expose, so downstream plans
-    keep their own exchanges. Nothing is cached.
+    keep their own exchanges. ``streamed`` is for rows that are only written, one
+    by one: their number in a task costs no memory, so a source that is
+    split evenly enough for ``spread_to`` tasks is not shuffled. Nothing is cached.
     """
     from crashlens.sources.catalog import CrashTables
 
     lineitem = spark.read.schema(LINEITEM_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS_COLUMNS).parquet(f"{sf_dir}/orders.parquet")
     if spread_to:
-        parts = [max(spread_to, -(-df.count() // ROWS_PER_TASK)) for df in (lineitem, orders)]
-        lineitem, orders = lineitem.repartition(parts[0], *LINEITEM_ROW_KEY), orders.repartition(parts[1], *ORDERS_ROW_KEY)
+        def dealt(df: DataFrame, key: list[str]) -> DataFrame:
+            if streamed and _in_even_splits(df, spread_to):
+                return df
+            return df.repartition(max(spread_to, -(-df.count() // ROWS_PER_TASK)), *key)
+
+        lineitem, orders = dealt(lineitem, LINEITEM_ROW_KEY), dealt(orders, ORDERS_ROW_KEY)
     return CrashTables(person=persons_from(lineitem), units=units_from(lineitem), damages=damages_from(orders))

@@ -128,7 +128,7 @@ class StageStore:
 
         parsed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [parse(c, own) for c, own in groups if own])
         rows = f"rows-{uuid.uuid4().hex[:12]}"  # two jobs that stage the same files do not touch each other's
-        parsed.write.parquet(str(self._path(BATCHES, name, rows)))
+        parsed.write.option("compression", "zstd").parquet(str(self._path(BATCHES, name, rows)))
         self._write({"how": how, "files": files, "schema": parsed.schema.json(), "rows": rows}, f"{BATCHES}/{name}", MANIFEST)
 
     def _rows(self, name: str, files: list[str]) -> DataFrame:
