@@ -37,7 +37,8 @@ def tagged_aggregates(df: DataFrame, tags: Sequence[Tag]) -> DataFrame:
         measure = F.col(tag.measure).cast("long") if tag.measure else F.lit(None).cast("long")
         return F.when(tag.condition, F.struct(F.lit(tag.name).alias("tag"), *keys, measure.alias("_m")))
 
-    rows = df.select(F.explode(F.array_compact(F.array(*[row(tag) for tag in tags]))).alias("_row")).select("_row.*")
+    # Tags that a row does not meet are filtered after the explode: dropping them from the array takes an interpreted lambda.
+    rows = df.select(F.explode(F.array(*[row(tag) for tag in tags])).alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
     return rows.groupBy("tag", *names).agg(F.count(F.lit(1)).alias("n"), F.sum("_m").alias("total"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.operators.distinct import distinct_rows
+from crashlens.operators.distinct import ROW_HASH, by_copies, copies_map, distinct_rows, plain, row_hash
 from crashlens.session import remove_path, scratch_path
 from crashlens.sources.csv_load import read_csv_mixed
 from crashlens.sources.schemas import REQUIRED_COLUMNS, TABLE_TYPES
@@ -123,20 +123,36 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
     CSV); Spark sorts before that, so a retried task rebuilds the same
     partitions. ``with_distinct`` also stages the distinct whole rows of
     ``units`` and ``person``: one shuffle each of the rows' hashes and of the
-    rows that may have copies, instead of one per analysis that deduplicates. ``announce`` is told each folder before it is
-    written. :func:`unstage` deletes what was written.
+    rows that may have copies, instead of one per analysis that deduplicates.
+    With ``base`` the staged tables hold each row's hash, and the rows that occur once
+    are read from there: only a map of the hashes that repeat and the distinct
+    rows among those that may have copies are written. ``announce`` is told each
+    folder before it is written. :func:`unstage` deletes what was written.
     """
     paths: list[str] = list(tables.staged_paths)
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def folder(name: str) -> str:
         path = scratch_path(spark, f"staged-{name.replace('_', '-')}")
         paths.append(path)
         if announce:
             announce(path)
+        return path
+
+    def written(df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    def write_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def write(name: str, df: DataFrame) -> DataFrame:
+        return written(df, folder(name))
+
+    def write_distinct(name: str, df: DataFrame) -> DataFrame:
+        if ROW_HASH not in df.columns:
+            return write(name, distinct_rows(df))
+        path = folder(name)
+        once, doubted = by_copies(df, written(copies_map(df), f"{path}/map"))
+        return once.unionByName(written(doubted.distinct(), f"{path}/rows"))
+
+    def write_all(frames: dict[str, DataFrame], write: Callable[[str, DataFrame], DataFrame] = write) -> dict[str, DataFrame]:
         # independent writes: submitted together so their stages overlap
         with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
             futures = {name: pool.submit(write, name, df) for name, df in frames.items()}
@@ -145,9 +161,13 @@ def stage(spark: SparkSession, tables: CrashTables, base: bool = True, with_dist
     try:
         frames = tables.as_dict()
         if base:
-            frames = write_all({name: df.repartition(spread_to) if spread_to else df for name, df in frames.items()})
+            frames = {name: df.repartition(spread_to) if spread_to else df for name, df in frames.items()}
+            if with_distinct:
+                frames |= {name: frames[name].withColumn(ROW_HASH, row_hash(frames[name])) for name in ("person", "units") if plain(frames[name])}
+            frames = write_all(frames)
         if with_distinct:
-            frames = frames | write_all({"person_rows": distinct_rows(frames["person"]), "units_rows": distinct_rows(frames["units"])})
+            frames |= write_all({"person_rows": frames["person"], "units_rows": frames["units"]}, write_distinct)
+            frames |= {name: frames[name].drop(ROW_HASH) for name in ("person", "units")}
     except BaseException:
         for path in paths[len(tables.staged_paths):]:
             remove_path(spark, path)
