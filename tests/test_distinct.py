@@ -127,3 +127,8 @@ def test_injury_totals_shuffle_narrow_rows(spark, tables):
     direct = CrashTables(person=tables.person, units=t.units, damages=tables.damages, units_rows=t.units.distinct())
     assert bag(V.a06i_makes_injury_total_rank_3_5(t)) == bag(V.a06i_makes_injury_total_rank_3_5(direct))
     assert shuffled(spark, V.a06i_makes_injury_total_rank_3_5(t)) < shuffled(spark, V.a06i_makes_injury_total_rank_3_5(direct)) / 4
+
+
+def test_a_row_is_shuffled_with_one_fingerprint(spark):
+    rows = spark.range(20_000).select(F.lit(1).alias("k"), F.xxhash64("id").alias("v"))
+    assert shuffled(spark, distinct_projection(rows, ["k"])) < 20_000 * 28  # 24 bytes of hashes, 32 with one more

@@ -103,3 +103,8 @@ def test_tags_without_keys_rows_or_measures(spark):
     got = {tag.name: sorted(map(tuple, rows_of_tag(out, tag).collect()), key=str) for tag in tags}
     assert got == {"all": [(3, None)], "none": [], "by_k": [(1, 2, 5)], "by_s": [("y", 1, None)],
                    "both": [("x", 1, 1, None), ("y", 1, 1, None), (None, 2, 1, None)]}
+
+
+def test_tags_run_no_interpreted_lambda(tables):
+    plan = tagged_aggregates(tables.units, list(A.units_tags().values()))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan

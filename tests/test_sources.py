@@ -128,3 +128,38 @@ def test_copies_as_csv_are_packed_in_files_of_bounded_rows(spark, monkeypatch):
         assert query(spark, SF001).count() > 0
     files = [f for p in paths for f in glob.glob(p.removeprefix("file:") + "/*.csv*")]
     assert len(files) > 20 and all(f.endswith(".lz4") for f in files)
+
+
+def test_rows_that_are_only_written_are_dealt_out_only_from_few_splits(spark, tmp_out):
+    from conftest import SF001
+    from crashlens.sources import fixture
+
+    for name in ("lineitem", "orders"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").repartition(8).write.parquet(f"{tmp_out}/{name}.parquet")
+    shuffled = lambda t: "Exchange" in t.units._jdf.queryExecution().executedPlan().toString()
+    many, one = fixture.load_fixture(spark, tmp_out, 4, streamed=True), fixture.load_fixture(spark, SF001, 4, streamed=True)
+    assert not shuffled(many) and shuffled(one)
+    assert shuffled(fixture.load_fixture(spark, tmp_out, 4)) and shuffled(fixture.load_fixture(spark, SF001, 2, streamed=True))
+    for name, df in many.as_dict().items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, one.as_dict()[name].collect()))
+
+
+def test_staged_distinct_rows_are_not_a_second_copy_of_the_table(spark):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from crashlens.sources.catalog import CrashTables
+
+    rows = spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("a"), F.when(F.col("id") % 3 > 0, F.lit(-0.0)).alias("z"))
+    person = rows.unionByName(rows.where("id < 40")).unionByName(rows.where("id < 20").withColumn("z", F.col("z") * -1))
+    staged = stage(spark, CrashTables(person=person, units=person.limit(0), damages=person.limit(1)), with_distinct=True)
+    try:
+        assert staged.person.columns == person.columns and staged.person.count() == 3060
+        assert sorted(map(str, staged.person_rows.collect())) == sorted(map(str, person.distinct().collect()))
+        assert staged.units_rows.count() == 0
+        size = {kind: sum(os.path.getsize(f) for p in staged.staged_paths if f"staged-{kind}-" in p and (kind != "person" or "person-rows" not in p)
+                          for f in glob.glob(p.removeprefix("file:") + "/**/*.parquet", recursive=True)) for kind in ("person", "person-rows")}
+        assert 0 < size["person-rows"] < size["person"] / 4
+    finally:
+        unstage(spark, staged)
